@@ -8,13 +8,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweave.llm import bpe, leakage, lookalikes, quality, splitting, termcounts
+from inkweave.llm import alignment, bpe, leakage, lookalikes, quality, sentences, splitting, termcounts
 from inkweave.sources.tables import corpus_rows, table
 
 #: Where the public tokenizers lie; a parameter, never copied into the repository.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
 
+def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    place = ("chapter", "page", "sent_idx")
+    return (
+        corpus_rows(spark, d, "han_sentences", *place, "sinonom", "is_dbl"),
+        corpus_rows(spark, d, "vi_sentences", *place, "text"),
+        table(spark, d, "hanviet"),
+        table(spark, d, "s2_readings"),
+    )
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.aligned_rows(*_sentence_rows(spark, d))
+
+
+def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """The linked sentences of every chapter with their scores."""
+    return alignment.aligned_sentences(*_sentence_rows(spark, d))
+
+
+def _both_texts(spark: SparkSession, d: str, find: Callable[..., DataFrame]) -> DataFrame:
+    han = find(corpus_rows(spark, d, "han_sentences", "sinonom"), "sinonom", "han", "vol", "id")
+    vi = find(corpus_rows(spark, d, "vi_sentences", "text"), "text", "vi", "vol", "id")
+    return han.withColumn("entity", F.lit("han_sentences")).unionByName(vi.withColumn("entity", F.lit("vi_sentences")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _both_texts(spark, d, sentences.sentence_boundaries).select("entity", "vol", "id", "boundary_at")
+
+
+def p3_units(spark: SparkSession, d: str) -> DataFrame:
+    """Every sentence unit of every row."""
+    return _both_texts(spark, d, sentences.sentence_units).select("entity", "vol", "id", "unit_no", "unit")
+
+
 def _vi_terms(spark: SparkSession, d: str) -> DataFrame:
     return corpus_rows(spark, d, "vi_sentences", "text").select(termcounts.letter_runs(F.col("text")).alias("terms"))
 
@@ -88,7 +122,7 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
+    f.__name__: f for f in (p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
 }
 
 _VI_ROWS = "SELECT DISTINCT ON (vol, id) text FROM vi_sentences"
