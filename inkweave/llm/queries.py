@@ -8,13 +8,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweave.llm import alignment, bpe, leakage, lookalikes, quality, sentences, splitting, termcounts
+from inkweave.llm import alignment, bpe, leakage, lookalikes, quality, scannoise, sentences, splitting, termcounts
 from inkweave.sources.tables import corpus_rows, table
 
 #: Where the public tokenizers lie; a parameter, never copied into the repository.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
 
+def _boxes(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_rows(spark, d, "han_boxes", "chapter", "page", "box_idx", "bbox", "sinonom")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    vi = scannoise.vi_noise(corpus_rows(spark, d, "vi_sentences", "text")).withColumn("entity", F.lit("vi_sentences"))
+    han = scannoise.box_noise(_boxes(spark, d)).withColumn("entity", F.lit("han_boxes"))
+    return vi.unionByName(han).select("entity", "vol", "id", "kind")
+
+
+def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Every chapter of vi_sentences.text repaired into continuous paragraphs."""
+    rows = corpus_rows(spark, d, "vi_sentences", "chapter", "page", "sent_idx", "text")
+    repaired = scannoise.repaired_vi(rows).select("vol", "id", "repaired")
+    return scannoise.paragraphs(rows.select("vol", "id", "chapter", "page", "sent_idx").join(repaired, ["vol", "id"]))
+
+
 def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     place = ("chapter", "page", "sent_idx")
     return (
@@ -122,7 +139,7 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
+    f.__name__: f for f in (p1_found, p1_paragraphs, p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
 }
 
 _VI_ROWS = "SELECT DISTINCT ON (vol, id) text FROM vi_sentences"
