@@ -27,9 +27,9 @@ from inkweave.session import cut_lineage
 
 # Look-alikes, first the plain character, then others drawn the same way. Two unified
 # ideographs never share a class: those differ on paper.
-KANA = "二ニ 八ハ 力カ 工エ 口ロ 夕タ 卜ト 一ーㄧ 丿ノ 〇○◯ 厂ㄏ 厶ㄙ 幺ㄠ 丫ㄚ"
+KANA = "二ニ 八ハ 力カ 工エ 口ロ 夕タ 一ーㄧ 丿ノ 〇○◯ 厶ㄙ 丫ㄚ"
 RADICALS = (
-    "厂⺁ 几⺇ 卜⺊ 尢⺐ 巳⺒ 幺⺓ 彑⺔ 彐⺕ 忄⺖ 扌⺘ 攵⺙ 旡⺛ 日⺜ 月⺝ 歺⺞ 母⺟ 民⺠ 氵⺡ 氺⺢ 灬⺣ 爫⺤ 丬⺦ 犭⺨ 王⺩ 疋⺪ "
+    "厂⺁ㄏ 几⺇ 卜⺊ト 尢⺐ 巳⺒ 幺⺓ㄠ 彑⺔ 彐⺕ 忄⺖ 扌⺘ 攵⺙ 旡⺛ 日⺜ 月⺝ 歺⺞ 母⺟ 民⺠ 氵⺡ 氺⺢ 灬⺣ 爫⺤ 丬⺦ 犭⺨ 王⺩ 疋⺪ "
     "目⺫ 示⺬ 礻⺭ 糹⺯ 纟⺰ 罓⺱ 罒⺲ 网⺳ 冈⺴ 羊⺶ 耂⺹ 肀⺺ 聿⺻ 肉⺼ 臼⺽ 艹⺾ 虎⻁ 衤⻂ 覀⻃ 西⻄ 见⻅ 角⻆ 讠⻈ 贝⻉ 足⻊ 车⻋ "
     "辶⻌ 阝⻏ 钅⻐ 長⻑ 镸⻒ 长⻓ 门⻔ 雨⻗ 青⻘ 韦⻙ 页⻚ 风⻛ 飞⻜ 食⻝ 飠⻞ 饣⻠ 马⻢ 骨⻣ 鬼⻤ 鱼⻥ 鸟⻦ 卤⻧ 麦⻨ 黄⻩ 黾⻪ 斉⻫ 齐⻬ "
     "歯⻭ 齿⻮ 竜⻯ 龙⻰ 龜⻱ 亀⻲ 龟⻳"

@@ -36,7 +36,8 @@ def _mask_stops(text: Column, where: str) -> Column:
 def vi_marked(text: Column) -> Column:
     """A Vietnamese text with a boundary character behind every sentence but the last; null stays null."""
     t = nfc(strip_ignorable(text))
-    t = F.regexp_replace(t, r"(?:https?://|www\.)[^\s«»\"]+", " ")
+    t = _mask_stops(t, r"(?<=(?:https?://|www\.)[^\s«»\"]{0,200})%s(?=[^\s«»\"])")
+    t = F.regexp_replace(t, r"(?<=www)\.", _MASK["."])
     t = F.regexp_replace(t, r'"([^"«»]*)"', "«$1»")
     dot = _MASK["."]
     # A page number that stands on a line of its own between stops.
