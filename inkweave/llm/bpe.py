@@ -16,6 +16,7 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,16 @@ def byte_names() -> list[str]:
     return [names[b] for b in range(256)]
 
 
+class _Known(dict):
+    """Pieces with their ids; a piece that is not there is encoded."""
+
+    def __init__(self, encode) -> None:
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        return self.encode(piece)
+
+
 class ByteBPE:
     """The model of a byte-level tokenizer file, given as its bytes."""
 
@@ -56,7 +67,8 @@ class ByteBPE:
             self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
         self.together = {(t[k] << 8) | t[k + 1] for t in self.bytes_of.values() for k in range(len(t) - 1)}
         self.find = regex.compile(PATTERN).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Known(self.piece)
+        self.ends: dict[str, tuple[int, int]] = {}  # first and last byte of a character
 
     def merge(self, data: bytes) -> list[int]:
         """The symbols of one chunk after all merges."""
@@ -95,29 +107,25 @@ class ByteBPE:
         known, together = self.known, self.together
         if len(text) == 1 or text.isascii():
             return self.remember(text, tuple(self.merge(text.encode())))
-        chunks, at, last = [], 0, text[0].encode()[-1]
-        for k in range(1, len(text)):
-            data = text[k].encode()
-            if (last << 8 | data[0]) not in together:
-                chunks.append(text[at:k])
-                at = k
-            last = data[-1]
-        chunks.append(text[at:])
-        if len(chunks) == 1:
-            return self.remember(text, tuple(self.merge(text.encode())))
+        ends = self.ends
         out: list[int] = []
-        for c in chunks:
-            ids = known.get(c)
-            out += self.remember(c, tuple(self.merge(c.encode()))) if ids is None else ids
-        return tuple(out)
+        at, last = 0, -1
+        for k, c in enumerate(text):
+            if (e := ends.get(c)) is None:
+                data = c.encode()
+                e = ends[c] = (data[0], data[-1])
+            if k and (last << 8 | e[0]) not in together:
+                chunk = text[at:k]
+                out += known.get(chunk) or self.remember(chunk, tuple(self.merge(chunk.encode())))
+                at = k
+            last = e[1]
+        chunk = text[at:]
+        out += known.get(chunk) or self.remember(chunk, tuple(self.merge(chunk.encode())))
+        return self.remember(text, tuple(out))
 
     def encode(self, text: str) -> list[int]:
         """All ids of a text; special tokens are ordinary text."""
-        known, out = self.known, []
-        for p in self.find(text):
-            ids = known.get(p)
-            out += self.piece(p) if ids is None else ids
-        return out
+        return list(chain.from_iterable(map(self.known.__getitem__, self.find(text))))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
