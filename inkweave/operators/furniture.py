@@ -30,4 +30,4 @@ def edge_boxes(boxes: DataFrame, volume: str, title: str, fold: str) -> DataFram
     folds = _share_of(text, fold) >= RATIO
     hit = (left & (_share_of(text, title) >= RATIO)) | ((x >= w * RIGHT) & (folds | (conf < CONFIDENCE))) | ((x >= w * SOFT_RIGHT) & folds & (conf < CONFIDENCE))
     kept = (F.length(text) == 0) | (F.length(text) > MOST_CHARS) | text.rlike(ERA_YEAR)
-    return boxes.join(F.broadcast(edge), volume, "left").withColumn("dropped", F.coalesce(~kept & hit, F.lit(False)))
+    return boxes.join(edge, volume, "left").withColumn("dropped", F.coalesce(~kept & hit, F.lit(False)))

@@ -155,7 +155,7 @@ n AS (SELECT vol, id, count(*) AS n, count(*) FILTER (token IN (SELECT token FRO
 SELECT vol, id, n, round(k / n, 3) AS known FROM n WHERE n >= 2 AND k / n >= 0.5""")
 def known_rows(s: SparkSession, d: str) -> DataFrame:
     each = corpus_rows(s, d, "vi_sentences", "text").select("vol", "id", F.explode(T.vi_tokens(F.col("text"))).alias("token"))
-    met = each.join(F.broadcast(_vocabulary(s, d).withColumn("k", F.lit(1))), "token", "left")
+    met = each.join(_vocabulary(s, d).withColumn("k", F.lit(1)), "token", "left")
     agg = met.groupBy("vol", "id").agg(F.count("*").alias("n"), F.count("k").alias("k"))
     return agg.where("n >= 2 AND k / n >= 0.5").select("vol", "id", "n", F.round(F.col("k") / F.col("n"), 3).alias("known"))
 
