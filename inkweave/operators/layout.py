@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-COLUMN_GAP, NARROW, TINY_AREA, ROW_TOLERANCE = 0.55, 0.62, 0.06, 12
+COLUMN_GAP, NARROW, TINY_AREA, ROW_TOLERANCE, SPLIT_SPAN = 0.55, 0.62, 0.06, 12, 0.28
 
 
 def geometry(bbox: Column) -> dict[str, Column]:
@@ -50,11 +51,12 @@ def clustered(centres: Column, limit: Column) -> Column:
 
 
 def columns_of_pages(boxes: DataFrame, page: list[str], gap: float = COLUMN_GAP) -> DataFrame:
-    """page, column_no (from the right, 1), n, x0, y0, x1, y1, text, conf: the boxes of a page merged into columns.
+    """page, column_no (from the right, 1), n, x0, y0, x1, y1, text, conf, is_double: the boxes of a page merged into columns.
 
     Boxes are taken from the right; one joins the column whose running mean of centres is at most ``gap``
     of the page's median width away. Texts are joined from the top; conf is the least. A page is a bounded
-    group (what fits on one sheet). Boxes that are not whole are left out.
+    group (what fits on one sheet). Boxes that are not whole are left out. A column is double (interlinear) with
+    four boxes, or with three of which one is narrow and whose centres lie apart.
     """
     g = geometry(F.col("bbox"))
     sized = boxes.select(*page, "id", "bbox", F.coalesce("sinonom", F.lit("")).alias("t"), "conf", g["cx"].alias("cx"), g["bw"].alias("bw")).where("cx is not null")
@@ -63,11 +65,13 @@ def columns_of_pages(boxes: DataFrame, page: list[str], gap: float = COLUMN_GAP)
         F.sort_array(F.collect_list(F.struct((-F.col("cx")).alias("m"), "id", F.col("cx").alias("v"), "bbox", "t", "conf"))).alias("b"),
     )
     named = pages.withColumn("c", clustered(F.col("b"), F.lit(gap) * F.col("w")))
-    each = named.select(*page, F.explode(F.arrays_zip("b", "c")).alias("z")).select(*page, F.col("z.c").alias("c"), "z.b.*")
+    each = named.select(*page, "w", F.explode(F.arrays_zip("b", "c")).alias("z")).select(*page, "w", F.col("z.c").alias("c"), "z.b.*")
     return each.groupBy(*page, (F.col("c") + 1).alias("column_no")).agg(
         F.count("*").alias("n"), F.min(F.col("bbox")[0]).alias("x0"), F.min(F.col("bbox")[1]).alias("y0"), F.max(F.col("bbox")[2]).alias("x1"),
         F.max(F.col("bbox")[3]).alias("y1"), F.array_join(F.sort_array(F.collect_list(F.struct(F.col("bbox")[1].alias("y"), "id", "t")))["t"], "").alias("text"),
         F.round(F.min("conf"), 3).alias("conf"),
+        ((F.count("*") >= 4) | ((F.count("*") >= 3) & F.bool_or((F.col("bbox")[2] - F.col("bbox")[0]) <= F.lit(NARROW) * F.col("w"))
+                                & (F.max("v") - F.min("v") > F.lit(SPLIT_SPAN) * F.max("w")))).alias("is_double"),
     )
 
 
@@ -91,3 +95,27 @@ def reading_order(boxes: DataFrame, page: list[str], tolerance: int = ROW_TOLERA
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.select(*page, "id").schema)
     return whole.groupBy(*page).applyInPandas(order, f"{fields}, row_no int, place int")
+
+
+def header_crop(profile: DataFrame, page: list[str], height: str, width: str) -> DataFrame:
+    """page, crop_y: where the head of a page ends, from its rows of pixels (page, y, ink, height, width).
+
+    Rows with ink over 1.2 % of the width form bands, joined over gaps of at most max(4, 0.4 % of the height).
+    If the first band lies in the top 18 %, is no taller than 1.8 times the middle band and is followed by a
+    gap of at least 1.4 times the middle gap, the crop is 0.4 middle gaps above the second band, else 0.
+    Middle values are the upper ones of an even number.
+    """
+    inked = profile.where(F.col("ink") > F.col(width) * 0.012)
+    w = W.partitionBy(*page).orderBy("y")
+    gap = F.greatest(F.lit(4.0), F.col(height) * 0.004)
+    new = F.coalesce((F.col("y") - F.lag("y").over(w) - 1 > gap).cast("int"), F.lit(1))
+    bands = inked.withColumn("new", new).withColumn("band", F.sum("new").over(w)).groupBy(*page, "band").agg(
+        F.min("y").alias("y0"), (F.max("y") + 1).alias("y1"), F.max(height).alias("h")
+    )
+    gathered = bands.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("y0", "y1"))).alias("b"), F.max("h").alias("h")).where(F.size("b") >= 2)
+    middle = lambda a: F.element_at(F.sort_array(a), (F.floor(F.size(a) / 2) + 1).cast("int"))
+    heights = F.transform("b", lambda x: x["y1"] - x["y0"])
+    gaps = F.transform(F.sequence(F.lit(1), F.size("b") - 1), lambda k: F.element_at("b", k + 1)["y0"] - F.element_at("b", k)["y1"])
+    first, second = F.col("b")[0], F.col("b")[1]
+    head = (first["y1"] <= F.col("h") * 0.18) & (heights[0] <= middle(heights) * 1.8) & (gaps[0] >= middle(gaps) * 1.4)
+    return gathered.select(*page, F.when(head, F.floor(second["y0"] - middle(gaps) * 0.4)).otherwise(0).cast("int").alias("crop_y"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkweave.functions import text as T
-from inkweave.operators import consensus, furniture, layout, lexicon, metrics, pages, patching, stream, vectors
+from inkweave.operators import consensus, furniture, layout, lexicon, metrics, pages, patching, sequences, stream, vectors
 from inkweave.sources.tables import corpus_rows, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -562,3 +562,98 @@ def merged_weights(s: SparkSession, d: str) -> DataFrame:
     merged = vectors.merged_weights(rows, ["user_id"], "weights")
     total = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda a, x: a + x)
     return merged.select("user_id", F.size("weights").cast("bigint").alias("tokens"), F.round(total, 4).alias("total"))
+
+
+# ---------------------------------------------------------------- sequences within rows
+
+_CJK_SQL = "[\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{2A6DF}\\x{2A700}-\\x{2EBEF}\\x{2F800}-\\x{2FA1F}]"
+
+
+@query(f"""
+WITH $ONCE, s2 AS (SELECT lower(trim(key)) AS q, flatten(list(values)) AS s2 FROM s2_readings GROUP BY 1),
+r AS (SELECT vol, id, regexp_extract_all(sinonom, '{_CJK_SQL}') AS c, list_filter(regexp_split_to_array(lower(trim(coalesce(am_han_viet, ''))), '\\s+'), lambda x: x <> '') AS q FROM h),
+p AS (SELECT vol, id, unnest(range(1, len(c) + 1)) AS k, c, q FROM r WHERE len(c) > 0),
+x AS (SELECT vol, id, c[k] AS sn, CASE WHEN k + len(q) - len(c) >= 1 THEN q[k + len(q) - len(c)] END AS qn FROM p),
+m AS (SELECT vol, id, list_contains(coalesce(s2, []), sn) AS ok FROM x LEFT JOIN s2 ON lower(trim(qn)) = q)
+SELECT vol, id, count(*) AS n, count(*) FILTER (ok) AS black, 0 AS green, count(*) FILTER (NOT ok) AS red, round(count(*) FILTER (ok) / count(*), 4) AS accuracy FROM m GROUP BY vol, id""")
+def sequence_accuracy(s: SparkSession, d: str) -> DataFrame:
+    rows = corpus_rows(s, d, "han_sentences", "sinonom", "am_han_viet")
+    none = s.createDataFrame([], "key string, values array<string>")
+    made = sequences.sequence_accuracy(rows, ["vol", "id"], "sinonom", "am_han_viet", none, table(s, d, "s2_readings"))
+    return made.withColumn("green", F.col("green").cast("int"))
+
+
+@query()
+def token_similarity(s: SparkSession, d: str) -> DataFrame:
+    rows = corpus_rows(s, d, "vi_sentences", "text", "raw_text")
+    return rows.select("vol", "id", F.round(sequences.token_similarity(T.vi_tokens(F.col("text")), T.vi_tokens(F.col("raw_text"))), 4).alias("similarity"))
+
+
+@query()
+def text_provenance(s: SparkSession, d: str) -> DataFrame:
+    rows = sequences.with_provenance(corpus_rows(s, d, "vi_sentences", "text").where("text is not null"), "text")
+    return rows.select("vol", "id", "clean", F.size("places").alias("n_places"))
+
+
+# Some simplified forms and the traditional ones.
+_FORMS = "节節 龙龍 书書 养養 岁歲 东東 铁鐵 县縣 义義 达達 闻聞 实實 鱼魚 军軍 爱愛 盐鹽 对對 赏賞 银銀 马馬 问問 边邊 读讀 学學"
+_FROM, _TO = ("".join(p[k] for p in _FORMS.split()) for k in (0, 1))
+
+
+@query(f"""
+WITH $ONCE SELECT vol, id, translate(sinonom, '{_FROM}', '{_TO}') AS traditional, CAST(length(sinonom) - length(regexp_replace(sinonom, '[{_FROM}]', '', 'g')) AS INTEGER) AS changed
+FROM b WHERE sinonom IS NOT NULL""")
+def traditional_forms(s: SparkSession, d: str) -> DataFrame:
+    text, changed = sequences.mapped_characters(F.col("sinonom"), _FORMS)
+    return corpus_rows(s, d, "han_boxes", "sinonom").where("sinonom is not null").select("vol", "id", text.alias("traditional"), changed.alias("changed"))
+
+
+@query(f"""
+WITH $ONCE, m AS (SELECT vol, page, sum(length(sinonom) - length(regexp_replace(sinonom, '[{T.MARKS}]', '', 'g'))) AS marks, sum(len(regexp_extract_all(sinonom, '{_CJK_SQL}'))) AS chars FROM h GROUP BY ALL)
+SELECT vol, page, CAST(marks AS BIGINT) AS marks, CAST(chars AS BIGINT) AS chars, CASE WHEN chars > 0 AND marks / chars >= 0.01 THEN 'marks' ELSE 'boxes' END AS cut_by FROM m""")
+def page_segmentation(s: SparkSession, d: str) -> DataFrame:
+    """Whether the sentences of a page are cut at its marks or are its boxes."""
+    rows = corpus_rows(s, d, "han_sentences", "page", "sinonom")
+    marks = F.length("sinonom") - F.length(T.without_marks(F.col("sinonom")))
+    agg = rows.groupBy("vol", "page").agg(F.sum(marks).alias("marks"), F.sum(F.size(T.cjk_chars(F.col("sinonom")))).alias("chars"))
+    return agg.withColumn("cut_by", F.when((F.col("chars") > 0) & (F.col("marks") / F.col("chars") >= 0.01), "marks").otherwise("boxes"))
+
+
+@query(r"""
+WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, E'\n'), lambda x: trim(x, ' ')), lambda x: x <> '') AS ls FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(len(ls) AS INTEGER) AS n_lines,
+  round(CASE WHEN len(ls) > 0 THEN len(list_filter(ls, lambda x: regexp_matches(x, '[^\s:：]+\s*[:：]\s*[0-9]'))) / len(ls) ELSE 0.0 END, 3) AS index_share,
+  round(CASE WHEN len(ls) > 0 THEN len(list_filter(ls, lambda x: len(string_split(x, ' ')) <= 4)) / len(ls) ELSE 0.0 END, 3) AS short_share FROM l""")
+def line_shares(s: SparkSession, d: str) -> DataFrame:
+    """Shares of index-like and of short lines, as back matter shows them."""
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    docs = table(s, d, "documents").where("text is not null").select("doc_id", lines.alias("ls"))
+    part = lambda f: T.share(F.size(F.filter("ls", f)), F.size("ls"))
+    return docs.select(
+        "doc_id", F.size("ls").alias("n_lines"), part(lambda x: x.rlike(r"[^\s:：]+\s*[:：]\s*[0-9]")).alias("index_share"),
+        part(lambda x: F.size(F.split(x, " ")) <= 4).alias("short_share"),
+    )
+
+
+@query(f"""
+WITH $ONCE SELECT vol, id FROM b WHERE sinonom IS NOT NULL AND regexp_matches(sinonom, '{_CJK_SQL}')""")
+def han_boxes_only(s: SparkSession, d: str) -> DataFrame:
+    return corpus_rows(s, d, "han_boxes", "sinonom").where(F.size(T.cjk_chars(F.col("sinonom"))) > 0).select("vol", "id")
+
+
+@query(f"""
+WITH $ONCE, {_CLEAN}, {_VOCAB},
+f AS (SELECT c.vol, c.id, v.chapter, v.page, v.sent_idx, c.t0, trim(regexp_replace(regexp_replace(t{_N}, '\\s{{2,}}', ' ', 'g'), '{T.SPACE_BEFORE_MARK}', '\\1', 'g'), ' ') AS clean
+  FROM (SELECT a.vol, a.id, a.t{_N}, x.t0 FROM c{_N - 1} a JOIN c x USING (vol, id)) c JOIN v USING (vol, id)),
+k AS (SELECT * FROM f WHERE regexp_matches(clean, '[A-Za-zÀ-ỹ]') AND NOT regexp_matches(clean, '{T.DANGLING_FOLIO}')),
+t AS (SELECT vol, id, unnest(regexp_extract_all(lower(clean), '[$VI]+')) AS token FROM k),
+n AS (SELECT vol, id, count(*) AS n, count(*) FILTER (voc.token IS NULL) AS o FROM t LEFT JOIN voc USING (token) GROUP BY ALL)
+SELECT k.vol, k.id, CAST(row_number() OVER (PARTITION BY k.vol, k.chapter, k.page ORDER BY k.sent_idx, k.id) AS INTEGER) AS ordinal, clean, clean <> t0 AS changed,
+  coalesce(n.n, 0) AS n_tokens, round(CASE WHEN n.n > 0 THEN n.o / n.n ELSE 0.0 END, 3) AS oov_rate FROM k LEFT JOIN n ON k.vol = n.vol AND k.id = n.id""")
+def cleaned_sentences(s: SparkSession, d: str) -> DataFrame:
+    """The Vietnamese side end to end: clean, drop junk, renumber, rate against the vocabulary."""
+    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text").where("text is not null")
+    kept = rows.withColumn("clean", T.cleaned(F.col("text"))[0]).where(~T.is_junk(F.col("clean")))
+    rates = lexicon.oov_rates(kept, ["vol", "id"], T.vi_tokens(F.col("clean")), _vocabulary(s, d))
+    placed = pages.numbered(kept, ["vol", "chapter", "page"], ["sent_idx", "id"]).withColumn("changed", F.col("clean") != F.col("text"))
+    return placed.join(rates, ["vol", "id"]).select("vol", "id", "ordinal", "clean", "changed", "n_tokens", "oov_rate")

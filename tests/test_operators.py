@@ -90,7 +90,7 @@ def test_layout(spark):
     boxes = [("p", "a", [100, 0, 140, 90], "甲", 0.9), ("p", "b", [102, 100, 142, 190], "乙", 0.5), ("p", "c", [40, 0, 80, 90], "丙", None), ("p", "d", None, "丁", 0.1)]
     df = spark.createDataFrame(boxes, "page string, id string, bbox array<int>, sinonom string, conf double")
     got = [tuple(r)[1:] for r in layout.columns_of_pages(df, ["page"]).orderBy("column_no").collect()]
-    assert got == [(1, 2, 100, 0, 142, 190, "甲乙", 0.5), (2, 1, 40, 0, 80, 90, "丙", None)]
+    assert got == [(1, 2, 100, 0, 142, 190, "甲乙", 0.5, False), (2, 1, 40, 0, 80, 90, "丙", None, False)]
     assert [(r.id, r.row_no) for r in layout.reading_order(df, ["page"]).orderBy("place").collect()] == [("c", 1), ("a", 1), ("b", 2)]
     assert layout.reading_order(df.limit(0), ["page"]).count() == 0
 
@@ -155,3 +155,36 @@ def test_weights_and_windows(spark):
     assert vectors.merged_weights(df, ["k"], "w").first().w == {"a": 1.5, "b": 2.0}
     win = pages.windows_of(spark.createDataFrame([(1, 1000), (2, 10), (3, 0)], "k int, n int"), F.col("n"))
     assert [(r.k, r.win_start, r.win_end, r.trusted_from) for r in win.orderBy("k", "win_no").collect()] == [(1, 0, 460, 0), (1, 428, 888, 460), (1, 856, 1000, 888), (2, 0, 10, 0)]
+
+
+def test_geometry(spark):
+    from inkweave.operators.lexicon import fallback_reading
+
+    df = spark.createDataFrame([([(1, 5), (9, 2), (4, 8)], [10, 20, 30, 50])], "p array<struct<x:int,y:int>>, b array<int>")
+    points = F.transform("p", lambda q: F.array(q["x"], q["y"]))
+    r = df.select(layout.polygon_box(points).alias("box"), layout.unrotated_box(F.col("b"), F.lit(100)).alias("back")).first()
+    assert r.box == [1, 2, 9, 8] and r.back == [49, 10, 79, 30]
+    v = spark.createDataFrame([("甲", "乙"), ("甲", "丙"), ("丁", "戊")], "char string, variant string")
+    assert [tuple(x) for x in fallback_reading(v, spark.createDataFrame([("丙", "bính"), ("乙", "ất")], "char string, reading string")).collect()] == [("甲", "bính")]
+
+
+def test_header_crop(spark):
+    bands = [(10, 30), (80, 100), (110, 130), (140, 160), (170, 190)]
+    rows = [(1, y, 50.0, 1000, 200) for a, b in bands for y in range(a, b)] + [(2, y, 50.0, 1000, 200) for a, b in bands[1:] for y in range(a + 300, b + 300)]
+    got = layout.header_crop(spark.createDataFrame(rows, "page int, y int, ink double, height int, width int"), ["page"], "height", "width")
+    assert sorted(map(tuple, got.collect())) == [(1, 76), (2, 0)]
+
+
+def test_sequences(spark):
+    from inkweave.operators import sequences
+
+    rows = spark.createDataFrame([(1, "百千，萬", "bách thiên vạn"), (2, "百千", "thiên"), (3, None, "x"), (4, "百", None)], "k int, t string, r string")
+    got = sorted((x.k, x.pos, x.sn, x.qn) for x in sequences.paired_readings(rows, ["k"], "t", "r").collect())
+    assert got == [(1, 1, "百", "bách"), (1, 2, "千", "thiên"), (1, 3, "萬", "vạn"), (2, 1, "百", None), (2, 2, "千", "thiên"), (4, 1, "百", None)]
+    assert sequences.token_distance("a b c".split(), "a x c d".split()) == 2
+    texts = ["Một hai-\nba \\bf{x}  bốn , năm", " 12 Sáu\n bảy [3 a] tám!", None, "", "thường"]
+    df = sequences.with_provenance(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    for r in df.collect():
+        if r.t is not None:
+            assert r.places is not None and len(r.places) == len(r.clean)
+            assert all(c == r.t[k] for c, k in zip(r.clean, r.places) if c != " ")
