@@ -115,7 +115,7 @@ def neighbour_counts(texts: DataFrame, skeleton_col: str = "skeleton") -> DataFr
     pairs = texts.select(chars.alias("chars")).select(
         F.explode(F.filter(
             F.transform("chars", lambda c, k: F.struct(c.alias("member"), F.try_element_at("chars", F.when(k > 0, k)).alias("before"))),
-            lambda x: x["member"].rlike(f"^[{''.join(CLASS_OF)}]$"),
+            lambda x: x["member"].isin(*CLASS_OF),
         )).alias("x")
     ).select("x.member", "x.before")
     script = F.lit(OTHER)
