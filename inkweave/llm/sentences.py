@@ -21,6 +21,9 @@ BREAK = ""
 _STOPS, _MASKS = ".!?…。;,", ""
 _MASK = dict(zip(_STOPS, _MASKS))
 
+#: Longest quotation, in characters, whose stops are masked; without such a bound long texts cost their square.
+QUOTED = 2000
+
 # Abbreviations before a name, a number or at the end of an enumeration.
 ABBREVIATIONS = "Ng NXB TS Ph PGS GS ThS BS KS Th Tr TP Tx ô Ô t q tr Tr vd VD x cf"
 
@@ -36,9 +39,10 @@ def _mask_stops(text: Column, where: str) -> Column:
 def vi_marked(text: Column) -> Column:
     """A Vietnamese text with a boundary character behind every sentence but the last; null stays null."""
     t = nfc(strip_ignorable(text))
-    t = _mask_stops(t, r"(?<=(?:https?://|www\.)[^\s«»\"]{0,200})%s(?=[^\s«»\"])")
-    t = F.regexp_replace(t, r"(?<=www)\.", _MASK["."])
-    t = F.regexp_replace(t, r'"([^"«»]*)"', "«$1»")
+    linked = _mask_stops(t, r"(?<=(?:https?://|www\.)[^\s«»\"]{0,200})%s(?=[^\s«»\"])")
+    # Looking back is slow, so only where there is a link.
+    t = F.when(text.contains("://") | text.contains("www."), F.regexp_replace(linked, r"(?<=www)\.", _MASK["."])).otherwise(t)
+    t = F.regexp_replace(t, rf'"([^"«»]{{0,{QUOTED}}}+)"', "«$1»")
     dot = _MASK["."]
     # A page number that stands on a line of its own between stops.
     t = F.regexp_replace(t, r"(?m)^[ \t]*\.[ \t]*([0-9]{1,4})[ \t]*\.[ \t]*$", f"{dot}$1{dot}")
@@ -48,7 +52,7 @@ def vi_marked(text: Column) -> Column:
     t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{M}}])({'|'.join(sorted(set(ABBREVIATIONS.split())))})\.(?!\.)", f"$1{dot}")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{M}\p{N}])(\p{Lu})\.(?!\.)", f"$1{dot}")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{M}])(\p{L})\.(?=\p{L}\.)", f"$1{dot}")
-    t = _mask_stops(t, r"%s(?=[^«»]*»)")
+    t = _mask_stops(t, rf"%s(?=[^«»]{{0,{QUOTED}}}+»)")
     t = F.regexp_replace(t, r"([.!?…]+[)\]”’]*)(?=\s*[^\s.!?…,;:)\]”’»])", f"$1{BREAK}")
     # A quotation introduced by a colon ends its sentence.
     return F.regexp_replace(t, rf"(:\s*«[^«»]*»)(?=\s*[^\s.!?…,;:)\]»{BREAK}])", f"$1{BREAK}")
@@ -88,7 +92,7 @@ def han_plain(text: Column) -> Column:
 
 def han_marked(plain: Column) -> Column:
     """A plain Chinese text with a boundary character behind every sentence but the last; null stays null."""
-    t = _mask_stops(F.regexp_replace(plain, r"\.", "。"), r"%s(?=[^「」『』]*[」』])")
+    t = _mask_stops(F.regexp_replace(plain, r"\.", "。"), rf"%s(?=[^「」『』]{{0,{QUOTED}}}+[」』])")
     t = F.regexp_replace(t, r"([。!?;…]+[」』]*)(?=[^。!?;…」』])", f"$1{BREAK}")
     stopped = F.regexp_replace(t, rf"(:「[^「」]*」)(?=[^。!?;…」』,{BREAK}])", f"$1{BREAK}")
     bare = F.regexp_replace(plain, f"({STATEMENT})", f"$1{BREAK}")
