@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,22 +78,21 @@ def reading_order(boxes: DataFrame, page: list[str], tolerance: int = ROW_TOLERA
     """``page`` columns, id, row_no, place: rows from the top, each from the left.
 
     A box belongs to the row whose first box lies at most ``tolerance`` higher; both numbers are from 1.
-    Boxes that are not whole are left out. One task per page, which is a bounded group.
+    Boxes that are not whole are left out. A page is a bounded group.
     """
-    whole = boxes.where(F.size("bbox") == 4).select(*page, "id", F.col("bbox")[0].alias("x"), F.col("bbox")[1].alias("y"))
-
-    def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["y", "x", "id"], kind="stable")
-        row, top, rows = 0, None, []
-        for y in pdf.y:
-            if top is None or y - top > tolerance:
-                row, top = row + 1, y
-            rows.append(row)
-        pdf = pdf.assign(row_no=rows).sort_values(["row_no", "x", "y", "id"], kind="stable")
-        return pdf.assign(place=range(1, len(pdf) + 1))[[*page, "id", "row_no", "place"]]
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.select(*page, "id").schema)
-    return whole.groupBy(*page).applyInPandas(order, f"{fields}, row_no int, place int")
+    whole = boxes.where(F.size("bbox") == 4).select(*page, F.struct(F.col("bbox")[1].alias("y"), F.col("bbox")[0].alias("x"), "id").alias("b"))
+    start = F.struct(F.lit(0).alias("row"), F.lit(None).cast("int").alias("top"), F.array().cast("array<int>").alias("out"))
+
+    def step(a: Column, b: Column) -> Column:
+        new = a["top"].isNull() | (b["y"] - a["top"] > tolerance)
+        row = F.when(new, a["row"] + 1).otherwise(a["row"])
+        return F.struct(row.alias("row"), F.when(new, b["y"]).otherwise(a["top"]).alias("top"), F.concat(a["out"], F.array(row)).alias("out"))
+
+    pages = whole.groupBy(*page).agg(F.sort_array(F.collect_list("b")).alias("b"))
+    numbered = pages.withColumn("row_no", F.aggregate("b", start, step, lambda a: a["out"]))
+    each = numbered.select(*page, F.explode(F.arrays_zip("b", "row_no")).alias("z")).select(*page, "z.b.*", "z.row_no")
+    place = F.row_number().over(W.partitionBy(*page).orderBy("row_no", "x", "y", "id"))
+    return each.withColumn("place", place).select(*page, "id", "row_no", "place")
 
 
 def header_crop(profile: DataFrame, page: list[str], height: str, width: str) -> DataFrame:

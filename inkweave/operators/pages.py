@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkweave.functions.text import diacritic_ratio, vi_tokens
+from inkweave.functions.text import VI_MARKED, share, vi_tokens
 
 MIN_TOKENS, PLATE_INK, VI_RATIO, CONFIRM_RUN = 10, 0.02, 0.65, 3
 
@@ -19,8 +19,9 @@ def page_label(tokens: Column, ratio: Column, ink: Column) -> Column:
 
 def classified_pages(pages: DataFrame, text: str, ink: str) -> DataFrame:
     """``pages`` with tokens, diac_ratio and label. A null text has no tokens."""
-    t = F.col(text)
-    measured = pages.withColumns({"tokens": F.size(vi_tokens(t)), "diac_ratio": diacritic_ratio(t)})
+    listed = pages.withColumn("__t", vi_tokens(F.col(text)))
+    marked = F.filter("__t", lambda t: t.rlike(f"[{VI_MARKED}]"))
+    measured = listed.withColumns({"tokens": F.size("__t"), "diac_ratio": share(F.size(marked), F.size("__t"))}).drop("__t")
     return measured.withColumn("label", page_label(F.col("tokens"), F.col("diac_ratio"), F.col(ink)))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from inkweave.functions import text as T
 from inkweave.operators import consensus, furniture, layout, lexicon, metrics, pages, patching, sequences, stream, vectors
-from inkweave.sources.tables import corpus_rows, table
+from inkweave.sources.tables import corpus_rows, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,7 +71,7 @@ SELECT doc_id, tokens, diac_ratio,
   CASE WHEN tokens < 10 THEN CASE WHEN ink >= 0.02 THEN 'PLATE' ELSE 'BLANK' END WHEN diac_ratio >= 0.65 THEN 'VI' ELSE 'HAN' END AS label
 FROM m""")
 def page_classes(s: SparkSession, d: str) -> DataFrame:
-    docs = table(s, d, "documents").select("doc_id", "text", F.when(F.coalesce("n_chars", F.lit(0)) > 0, 0.1).otherwise(0.0).alias("ink"))
+    docs = spread(table(s, d, "documents")).select("doc_id", "text", F.when(F.coalesce("n_chars", F.lit(0)) > 0, 0.1).otherwise(0.0).alias("ink"))
     return pages.classified_pages(docs, "text", "ink").select("doc_id", "tokens", "diac_ratio", "label")
 
 

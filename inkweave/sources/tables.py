@@ -19,7 +19,22 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: a scan of fewer partitions than there are cores is small, so it is dealt out anew.
+
+    A larger one is left as it is; its rows never travel.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def corpus_rows(spark: SparkSession, directory: str, name: str, *columns: str) -> DataFrame:
-    """Each (vol, id) of a row table once, with the given columns only."""
+    """Each (vol, id) of a row table once, with the given columns only.
+
+    Rows are dealt out by their key over the session's shuffle partitions, which the removal of repeated
+    rows then needs no shuffle for; being asked for by number, they are not joined into fewer afterwards,
+    which would leave costly text operators on few cores.
+    """
     want = dict.fromkeys(("vol", "id", *columns))
-    return once(table(spark, directory, name).select(*want), "vol", "id")
+    dealt = table(spark, directory, name).select(*want).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vol", "id")
+    return once(dealt, "vol", "id")
