@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkweave.llm import alignment, bpe, leakage, lookalikes, quality, scannoise, sentences, splitting, termcounts
-from inkweave.sources.tables import corpus_rows, table
+from inkweave.sources.tables import corpus_rows, spread, table
 
 #: Where the public tokenizers lie; a parameter, never copied into the repository.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -104,7 +104,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.encode_texts(table(spark, d, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.json")
+    return bpe.encode_texts(spread(table(spark, d, "documents")), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
 def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
@@ -113,12 +113,12 @@ def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaked_items(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 def p8_spans(spark: SparkSession, d: str) -> DataFrame:
     """The stretches of units to remove from each document concerned."""
-    return leakage.leaked_spans(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaked_spans(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 def _prose_judge(spark: SparkSession, d: str) -> quality.ProseJudge:
@@ -130,12 +130,12 @@ def _prose_judge(spark: SparkSession, d: str) -> quality.ProseJudge:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return quality.no_prose_documents(table(spark, d, "documents"), _prose_judge(spark, d))
+    return quality.no_prose_documents(spread(table(spark, d, "documents")), _prose_judge(spark, d))
 
 
 def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Per-document statistics of documents.text."""
-    return quality.text_statistics(table(spark, d, "documents"), _prose_judge(spark, d))
+    return quality.text_statistics(spread(table(spark, d, "documents")), _prose_judge(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
