@@ -9,7 +9,8 @@ from inkweave.operators.metrics import rank_value
 
 # Fixed values of the decision.
 LEFT, LEFT_SINGLE, RIGHT, SOFT_RIGHT, MOST_CHARS, RATIO, CONFIDENCE = 0.15, 0.10, 0.97, 0.90, 12, 0.6, 0.75
-ERA_YEAR = r"^(?:明命|嘉隆|瑞康)[〇一二三四五六七八九十百元]{0,4}年$"
+#: A line that is nothing but a year of an era, whatever its name of two characters.
+ERA_YEAR = r"^[\x{4E00}-\x{9FFF}]{2}[〇一二三四五六七八九十百元]{0,4}年$"
 
 
 def _share_of(text: Column, chars: str) -> Column:
