@@ -15,13 +15,14 @@ import bisect
 import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkweave.llm.sentences import sentence_units
+from inkweave.session import cut_lineage
 
 #: Largest lexicon (characters with readings, word pairs) that is broadcast, in rows.
 MOST_LEXICON = 500_000
@@ -154,8 +155,8 @@ class Chapter:
         return sorted((*r[1], self.score[r[1]]) for r in best_i.values() if best_j[r[1][1]] == r)
 
 
-#: Sentence pairs from which the lexicon is learnt, and the most a local dynamic programme may span.
-LEXICON_PAIRS, MOST_CELLS = 20_000, 250_000
+#: The most a local dynamic programme may span.
+MOST_CELLS = 250_000
 #: Least scores of a link: best partners and pairs within a gap; without a learnt lexicon scores are lower.
 STRONG, WEAK, UNLEARNT = 2.4, 2.2, (1.2, 0.9)
 
@@ -183,22 +184,37 @@ class Lexicon:
         return out
 
 
-def learn_pairs(linked: list[tuple[str, str]], least: int = 8, dice: float = 0.5) -> dict[str, set[str]]:
-    """Character pairs and the syllable pairs that go with them in at least ``least`` of the linked sentences."""
-    h_of, v_of = [], []
-    for han, vi in linked:
-        text, s = re.sub(r"[^\w]", "", han), vi_syllables(vi)
-        h_of.append({a + b for a, b in zip(text, text[1:])})
-        v_of.append({f"{a} {b}" for a, b in zip(s, s[1:])})
-    nh, nv = Counter(x for s in h_of for x in s), Counter(x for s in v_of for x in s)
-    both: Counter = Counter()
-    for hs, vs in zip(h_of, v_of):
-        hs, vs = [x for x in hs if nh[x] >= least], [x for x in vs if nv[x] >= least]
-        both.update((a, b) for a in hs for b in vs)
+def gram_sets(han: str, vi: str) -> tuple[list[str], list[str]]:
+    """The character pairs of a Chinese sentence and the syllable pairs of a Vietnamese one, each once."""
+    text, s = re.sub(r"[^\w]", "", han), vi_syllables(vi)
+    return sorted({a + b for a, b in zip(text, text[1:])}), sorted({f"{a} {b}" for a, b in zip(s, s[1:])})
+
+
+def learn_pairs(linked: DataFrame, least: int = 8, dice: float = 0.5) -> dict[str, set[str]]:
+    """Character pairs and the syllable pairs that go with them in at least ``least`` of the linked sentences.
+
+    ``linked`` has a row per pair of sentences with their ``gram_sets`` as h and v; all rows count. Only what
+    is found is gathered, and more than ``MOST_LEXICON`` of it is an error.
+    """
+    linked = cut_lineage(linked.withColumn("k", F.monotonically_increasing_id()))
+    usual, coded = {}, {}
+    for side in "hv":
+        gram = linked.select("k", F.explode(side).alias(side))
+        counted = gram.groupBy(side).agg(F.count("*").alias(f"n{side}")).where(F.col(f"n{side}") >= least)
+        usual[side] = known = cut_lineage(counted.withColumn(f"{side}_no", F.monotonically_increasing_id()))
+        known = F.broadcast(known) if known.count() <= MOST_LEXICON else known
+        coded[side] = gram.join(known, side).groupBy("k").agg(F.collect_list(F.struct(f"{side}_no", f"n{side}")).alias(side))
+    # They meet at most as often as the rarer one occurs, so pairs too unlike in number need no count.
+    each = coded["h"].join(coded["v"], "k").select(F.explode("h").alias("h"), "v").select("h.*", F.explode("v").alias("v")).select("h_no", "nh", "v.*")
+    likely = each.where(2 * F.least("nh", "nv") >= dice * (F.col("nh") + F.col("nv")))
+    met = likely.groupBy("h_no", "v_no").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    found = met.join(usual["h"], "h_no").join(usual["v"], "v_no").where(2 * F.col("n") >= dice * (F.col("nh") + F.col("nv")))
+    rows = found.select("h", "v").limit(MOST_LEXICON + 1).collect()
+    if len(rows) > MOST_LEXICON:
+        raise ValueError(f"more than {MOST_LEXICON} rows of lexicon")
     out: dict[str, set[str]] = defaultdict(set)
-    for (a, b), n in both.items():
-        if n >= least and 2 * n >= dice * (nh[a] + nv[b]):
-            out[a].add(b)
+    for r in rows:
+        out[r.h].add(r.v)
     return dict(out)
 
 
@@ -278,7 +294,7 @@ def _units(han_rows: DataFrame, vi_rows: DataFrame) -> DataFrame:
     return both.where("vol is not null and chapter is not null and id is not null")
 
 
-def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFrame, s2: DataFrame, sample_chapters: int = 400) -> DataFrame:
+def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFrame, s2: DataFrame) -> DataFrame:
     """vol, chapter, han_id, han_unit, vie_id, vie_unit, score: the linked sentences of every chapter.
 
     Rows need vol, chapter, page, sent_idx, id and sinonom (with is_dbl) or text; each key once. Null and
@@ -289,15 +305,16 @@ def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFram
     known = lexicon_of(hanviet, s2)
     units = _units(han_rows, vi_rows)
 
-    def run(lexicon: Lexicon, texts: bool):
+    def run(lexicon: Lexicon, grams: bool):
         def align(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(_ORDER, kind="stable")
             h, v = pdf[pdf.side == "h"].reset_index(drop=True), pdf[pdf.side == "v"].reset_index(drop=True)
-            least = UNLEARNT if texts else (STRONG, WEAK)
+            least = UNLEARNT if grams else (STRONG, WEAK)
             links = link_sentences(h.unit.tolist(), v.unit.tolist(), lexicon, *least) if len(h) and len(v) else []
             at_h, at_v = h.iloc[[i for i, _, _ in links]], v.iloc[[j for _, j, _ in links]]
-            if texts:
-                return pd.DataFrame({"han": at_h.unit.values, "vi": at_v.unit.values})
+            if grams:
+                sets = [gram_sets(x, y) for x, y in zip(at_h.unit, at_v.unit)]
+                return pd.DataFrame({"h": [x for x, _ in sets], "v": [y for _, y in sets]}, dtype=object)
             return pd.DataFrame({
                 "vol": at_h.vol.values, "chapter": at_h.chapter.values, "han_id": at_h.id.values, "han_unit": at_h.unit_no.values,
                 "vie_id": at_v.id.values, "vie_unit": at_v.unit_no.values, "score": [round(s, 4) for _, _, s in links],
@@ -305,15 +322,12 @@ def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFram
 
         return align
 
-    # The lexicon is learnt from a bounded sample of chapters, the same whatever the order of rows.
-    some = vi_rows.select("vol", "chapter").distinct().orderBy(F.xxhash64("vol", "chapter"), "vol", "chapter").limit(sample_chapters)
-    sampled = units.join(F.broadcast(some), ["vol", "chapter"], "left_semi").groupBy("vol", "chapter").applyInPandas(run(known, True), "han string, vi string")
-    linked = [(r.han, r.vi) for r in sampled.limit(LEXICON_PAIRS).collect()]
+    linked = units.groupBy("vol", "chapter").applyInPandas(run(known, True), "h array<string>, v array<string>")
     lexicon = Lexicon(known.readings, known.words, learn_pairs(linked))
     schema = "vol string, chapter int, han_id string, han_unit int, vie_id string, vie_unit int, score double"
     return units.groupBy("vol", "chapter").applyInPandas(run(lexicon, False), schema)
 
 
-def aligned_rows(*tables: DataFrame, **settings) -> DataFrame:
+def aligned_rows(*tables: DataFrame) -> DataFrame:
     """vol, han_id, vie_id: the rows of which at least one sentence is linked."""
-    return aligned_sentences(*tables, **settings).select("vol", "han_id", "vie_id").distinct()
+    return aligned_sentences(*tables).select("vol", "han_id", "vie_id").distinct()

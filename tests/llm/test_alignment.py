@@ -68,3 +68,38 @@ def test_local_programme_keeps_order():
     scores = {(0, 1): 5.0, (1, 0): 5.0, (2, 2): 3.0}
     assert len(A._local(scores, [0, 1, 2], [0, 1, 2], 1.0)) == 2
     assert A._local(scores, [], [0], 1.0) == []
+
+
+def test_lexicon_is_learnt_from_all_chapters(spark):
+    """Words of nine chapters each among 900; the last chapter of each topic has no other evidence."""
+    topics, each, names = 30, 9, {"柳": "liễu", "桂": "quế", "江": "giang"}
+    syllables = [f"{a}{b}" for a in ("b", "d", "g", "h", "k", "l", "m", "n", "ph", "r", "s", "t", "v", "x", "ch", "th") for b in ("an", "em", "in", "ong", "ut", "yn", "ac", "oi", "au", "ep", "it", "oc", "un", "am", "iu")]
+    han, vi = [], []
+    for ch in range(900):
+        topic, k = divmod(ch, each + 1)
+        words = "".join(chr(0x5000 + 8 * topic + j) for j in range(8)) if topic < topics else ""
+        said = " ".join(syllables[8 * topic : 8 * topic + 8]) if topic < topics else ""
+        anchored = k < each or topic >= topics
+        han.append(("v", ch, 1, 0, f"h{ch}", ("柳桂江" if anchored else "") + words + "。", False))
+        vi.append(("v", ch, 1, 0, f"x{ch}", ("Liễu Quế Giang " if anchored else "") + said + "."))
+    h = spark.createDataFrame(han, "vol string, chapter int, page int, sent_idx int, id string, sinonom string, is_dbl boolean")
+    v = spark.createDataFrame(vi, "vol string, chapter int, page int, sent_idx int, id string, text string")
+    hv = spark.createDataFrame([(c, s, None) for c, s in names.items()], "sinonom_char string, am_han_viet string, all_readings string")
+    s2 = spark.createDataFrame([("ngựa", ["馬"])], "key string, values array<string>")
+    got = {r.han_id for r in A.aligned_rows(h, v, hv, s2).collect()}
+    assert {f"h{t * (each + 1) + each}" for t in range(topics)} <= got
+
+
+def test_learnt_pairs_against_brute_force(spark):
+    r = random.Random(7)
+    rows = [(r.sample("abcdefgh", r.randint(0, 5)), r.sample("stuvwxyz", r.randint(0, 5))) for _ in range(60)]
+    rows += [(["q"], ["r"])] * 8 + [(["o"], ["p"])] * 7
+    want: dict[str, set[str]] = {}
+    for a in "abcdefghqo":
+        for b in "stuvwxyzrp":
+            n, na, nb = sum(a in h and b in v for h, v in rows), sum(a in h for h, _ in rows), sum(b in v for _, v in rows)
+            if n >= 8 and 2 * n >= 0.5 * (na + nb):
+                want.setdefault(a, set()).add(b)
+    df = spark.createDataFrame(rows, "h array<string>, v array<string>")
+    assert A.learn_pairs(df) == want and want["q"] == {"r"} and "o" not in want
+    assert A.learn_pairs(df.limit(0)) == {}
