@@ -275,6 +275,7 @@ def _has_any(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, "")) < F.length(text)
 
 
+_IDEOGRAPH = r"[\x{3400}-\x{9FFF}\x{3007}\x{20000}-\x{3FFFF}]"
 #: A character of at most this share of all may be another's misreading.
 RARE_SHARE = 1 / 1500
 
@@ -319,11 +320,11 @@ def misread_columns(columns: DataFrame, sample: list[str]) -> DataFrame:
 
     ``sample`` is a bounded sample of it, for the model; all counts cover all rows. A character is misread
     if it is no ideograph, a lone stroke or a simplified form, or if it is rare and in its places another
-    character is far more usual. Null and empty: none.
+    character is far more usual, also with a second neighbour on either side. Null and empty: none.
     """
     chars = F.split("chars", "")
     at = lambda k: F.when(k < 1, "^").when(k > F.size(chars), "$").otherwise(F.try_element_at(chars, F.greatest(k, F.lit(1))))
-    each = F.transform(chars, lambda c, k: F.struct((k + 1).cast("int").alias("pos"), c.alias("raw"), at(k).alias("before"), at(k + 2).alias("after")))
+    each = F.transform(chars, lambda c, k: F.struct((k + 1).cast("int").alias("pos"), c.alias("raw"), at(k).alias("before"), at(k + 2).alias("after"), at(k - 1).alias("before2"), at(k + 3).alias("after2")))
     places = columns.where(F.length("chars") > 0).select("vol", "id", F.explode(each).alias("x")).select("vol", "id", "x.*")
     debris = ~F.col("raw").rlike(r"^[\x{3400}-\x{9FFF}\x{3007}\x{20000}-\x{3FFFF}。，、：；！？,:;!?「」『』…]$") | _has_any(F.col("raw"), _STROKES)
     known = debris | _has_any(F.col("raw"), SIMPLIFIED)
@@ -334,8 +335,8 @@ def misread_columns(columns: DataFrame, sample: list[str]) -> DataFrame:
     place = three.groupBy("before", "after").agg(F.sum("n").alias("here"))
     asked = three.join(rare, "raw").join(place, ["before", "after"])
     others = three.select("before", "after", F.col("raw").alias("better"), F.col("n").alias("m"))
-    alike = columns.sparkSession.createDataFrame([(a, b) for a, bs in LIKE.items() for b in dict.fromkeys(bs)], "raw string, better string")
-    met = asked.join(F.broadcast(alike), "raw").join(others, ["before", "after", "better"]).where(F.col("m") >= TIMES * F.col("n"))
+    # Every usual character of the place is a candidate, whether it looks alike or not.
+    met = asked.join(others, ["before", "after"]).where((F.col("m") >= TIMES * F.col("n")) & F.col("better").rlike(rf"^{_IDEOGRAPH}$"))
     explained = met.groupBy("raw", "better").agg(F.sum("n").alias("explained"))
     both = met.join(explained, ["raw", "better"]).join(one.select(F.col("raw").alias("better"), F.col("all").alias("better_all")), "better")
     model = columns.sparkSession.sparkContext.broadcast(_place_model(sample))
@@ -346,7 +347,17 @@ def misread_columns(columns: DataFrame, sample: list[str]) -> DataFrame:
                 x = np.array([place_features(e / o, a, o, m, n, h) for e, a, o, m, n, h in zip(b.explained, b.better_all, b.own_all, b.m, b.n, b.here)])
                 yield b[["before", "raw", "after", "better"]].assign(score=model.value.probability(x))
 
-    scored = both.mapInPandas(rank, "before string, raw string, after string, better string, score double").where("score >= 0.5")
-    wrong = scored.groupBy("before", "raw", "after").agg(F.max(F.struct("score", "better")).alias("top")).select("before", "raw", "after", F.col("top.better").alias("better"))
-    marked = places.join(wrong, ["before", "raw", "after"], "left")
+    scored = cut_lineage(both.mapInPandas(rank, "before string, raw string, after string, better string, score double").where("score >= 0.5"))
+    # One neighbour on each side also fits another saying: with a second one, on either side, the candidate must still be the more usual. The edge of a column is no neighbour.
+    here = places.where("before2 <> '^' AND after2 <> '$'").join(scored.select("before", "after").distinct(), ["before", "after"])
+    wide = here.select("before2", "before", "raw", "after", "after2").distinct().join(scored, ["before", "raw", "after"])
+    for far, n in (("before2", "l"), ("after2", "r")):
+        counted = here.groupBy(far, "before", "raw", "after").agg(F.count("*").alias(n))
+        wide = wide.join(counted.withColumnRenamed(n, f"{n}_own"), [far, "before", "raw", "after"]).join(counted.withColumnRenamed("raw", "better"), [far, "before", "better", "after"])
+    alike = columns.sparkSession.createDataFrame([(a, b, 1) for a, bs in LIKE.items() for b in dict.fromkeys(bs)], "raw string, better string, alike int")
+    wide = wide.where("l > l_own AND r > r_own").join(F.broadcast(alike), ["raw", "better"], "left")
+    place = ["before2", "before", "raw", "after", "after2"]
+    top = F.max(F.struct("score", F.coalesce("alike", F.lit(0)).alias("alike"), "better")).alias("top")  # looking alike only decides between equal scores
+    wrong = wide.groupBy(*place).agg(top).select(*place, F.col("top.better").alias("better"))
+    marked = places.join(wrong, place, "left")
     return marked.where(known | F.col("better").isNotNull()).select("vol", "id", "pos", "raw", "better")

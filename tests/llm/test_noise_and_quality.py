@@ -90,6 +90,20 @@ def test_misread_words(spark):
     assert misread.misread_words(df.limit(0), texts).count() == 0
 
 
+def test_misread_columns_need_no_list(spark):
+    """A rare character in place of a usual one that no list calls alike; a saying that shares one neighbour on each side stays."""
+    r = random.Random(6)
+    some = lambda n: "".join(r.choice("柳桂江泉沙松霜溪湖石桑竹孝忠信仁義禮智清") for _ in range(n))
+    texts = [f"是歲{some(2)}以免稅有功矣賜{some(3)}" for _ in range(1500)] + [f"{some(2)}也者{some(2)}之本鳥有林矣" for _ in range(12)]
+    bad = [f"是歲{some(2)}以免稅有幼矣賜{some(3)}" for _ in range(4)]
+    assert "幼" not in misread.LIKE
+    rows = [("v", f"c{k}", t) for k, t in enumerate(texts)] + [("v", f"w{k}", t) for k, t in enumerate(bad)] + [("v", "null", None), ("v", "empty", "")]
+    df = spark.createDataFrame(rows, "vol string, id string, chars string")
+    got = {(x.id, x.raw, x.better) for x in misread.misread_columns(df, texts[:120] + texts[-6:]).collect()}
+    assert got == {(f"w{k}", "幼", "功") for k in range(4)}
+    assert misread.misread_columns(df.limit(0), []).count() == 0
+
+
 def test_boxes(spark):
     rows = [("v", f"c{p}.{k}", 1, p, k, [1100 - 65 * k, 100, 1146 - 65 * k, 800], "是歲柳武永曰高堂遠法祖") for p in range(6) for k in range(1, 9)]
     rows += [("v", "head", 1, 0, 20, [600, 90, 630, 410], "瑞康政要卷之三"), ("v", "both", 1, 1, 20, [600, 90, 630, 410], "瑞康政要三十葉"),
