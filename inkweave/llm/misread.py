@@ -276,6 +276,13 @@ def _has_any(text: Column, chars: str) -> Column:
 
 
 _IDEOGRAPH = r"[\x{3400}-\x{9FFF}\x{3007}\x{20000}-\x{3FFFF}]"
+
+
+def is_ideograph(c: Column) -> Column:
+    """One ideograph that is no lone stroke."""
+    return c.rlike(rf"^{_IDEOGRAPH}$") & ~_has_any(c, _STROKES)
+
+
 #: A character of at most this share of all may be another's misreading.
 RARE_SHARE = 1 / 1500
 

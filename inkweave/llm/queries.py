@@ -26,10 +26,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """Every chapter of vi_sentences.text repaired into continuous paragraphs."""
+    """Every chapter of vi_sentences.text and of han_boxes.sinonom repaired into continuous paragraphs; entity is the table name."""
     rows = corpus_rows(spark, d, "vi_sentences", "chapter", "page", "sent_idx", "text")
     repaired = scannoise.repaired_vi(rows).select("vol", "id", "repaired")
-    return scannoise.paragraphs(rows.select("vol", "id", "chapter", "page", "sent_idx").join(repaired, ["vol", "id"]))
+    vi = scannoise.paragraphs(rows.select("vol", "id", "chapter", "page", "sent_idx").join(repaired, ["vol", "id"])).withColumn("entity", F.lit("vi_sentences"))
+    boxes = _boxes(spark, d)
+    mended = boxes.select("vol", "id", "chapter", "page", "box_idx").join(scannoise.repaired_boxes(boxes), ["vol", "id"])
+    han = scannoise.paragraphs(mended, place="box_idx", glue="").withColumn("entity", F.lit("han_boxes"))
+    return vi.unionByName(han).select("entity", "vol", "chapter", "paragraph_no", "paragraph")
 
 
 def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from inkweave.functions.unicode import nfc
 from inkweave.llm.boosting import Boosted
-from inkweave.llm.misread import SAMPLE_ROWS, USUAL_WORDS, column_text, misread_columns, misread_words
+from inkweave.llm.misread import SAMPLE_ROWS, USUAL_WORDS, column_text, is_ideograph, misread_columns, misread_words
 from inkweave.llm.pagenoise import PageNoise
 from inkweave.session import cut_lineage
 
@@ -173,14 +173,27 @@ def box_noise(boxes: DataFrame) -> DataFrame:
     return _kinds(examined, misread_columns(examined.where("chars is not null"), bounded_sample(examined, "chars")))
 
 
-def paragraphs(rows: DataFrame, most_sentences: int = 5) -> DataFrame:
+def repaired_boxes(boxes: DataFrame) -> DataFrame:
+    """vol, id, repaired: the characters of each column with misread ones replaced; null for heads and numbers.
+
+    Where nothing better is known, an ideograph stays as it was read and debris, which is none, is left out.
+    """
+    examined = cut_lineage(examine_boxes(boxes))
+    wrong = misread_columns(examined.where("chars is not null"), bounded_sample(examined, "chars"))
+    fixes = wrong.groupBy("vol", "id").agg(F.map_from_entries(F.collect_list(F.struct("pos", F.coalesce("better", F.when(is_ideograph(F.col("raw")), F.col("raw")), F.lit("")).alias("to")))).alias("fixes"))
+    mended = F.array_join(F.transform(F.split("chars", ""), lambda c, k: F.coalesce(F.try_element_at("fixes", (k + 1).cast("int")), c)), "")
+    joined = examined.join(fixes, ["vol", "id"], "left")
+    return joined.select("vol", "id", F.when(F.col("fixes").isNull(), F.col("chars")).otherwise(mended).alias("repaired"))
+
+
+def paragraphs(rows: DataFrame, most_sentences: int = 5, place: str = "sent_idx", glue: str = " ") -> DataFrame:
     """vol, chapter, paragraph_no, paragraph: each chapter as continuous paragraphs of at most ``most_sentences`` rows.
 
-    ``rows`` has vol, chapter, page, sent_idx, id and repaired. Rows without text leave no gap; a chapter is
+    ``rows`` has vol, chapter, page, the column ``place``, id and repaired; ``glue`` stands between two rows. Rows without text leave no gap; a chapter is
     numbered by a window, no chapter is gathered whole.
     """
     kept = rows.where("length(repaired) > 0")
-    order = W.partitionBy("vol", "chapter").orderBy("page", "sent_idx", "id")
+    order = W.partitionBy("vol", "chapter").orderBy("page", place, "id")
     numbered = kept.withColumn("k", F.row_number().over(order) - 1).withColumn("paragraph_no", F.floor(F.col("k") / most_sentences).cast("int") + 1)
     gathered = numbered.groupBy("vol", "chapter", "paragraph_no").agg(F.sort_array(F.collect_list(F.struct("k", "repaired"))).alias("x"))
-    return gathered.select("vol", "chapter", "paragraph_no", F.array_join("x.repaired", " ").alias("paragraph"))
+    return gathered.select("vol", "chapter", "paragraph_no", F.array_join("x.repaired", glue).alias("paragraph"))

@@ -116,6 +116,22 @@ def test_boxes(spark):
     assert scannoise.box_noise(df.limit(0)).count() == 0
 
 
+def test_paragraphs_of_boxes(spark):
+    rows = [("v", f"c{p}.{k}", 1, p, k, [1100 - 65 * k, 100, 1146 - 65 * k, 800], "是歲柳武永曰" if k != 3 else "是岁□曰(tuế)") for p in (2, 1) for k in range(1, 9)]
+    rows += [("v", "head", 1, 1, 20, [600, 90, 630, 410], "瑞康政要卷之三"), ("v", "num", 1, 2, 20, [600, 1490, 650, 1530], "六十二"), ("v", "null", 1, 1, 21, [30, 100, 76, 800], None)]
+    df = spark.createDataFrame(rows, "vol string, id string, chapter int, page int, box_idx int, bbox array<int>, sinonom string")
+    both = df.select("vol", "id", "chapter", "page", "box_idx").join(scannoise.repaired_boxes(df), ["vol", "id"])
+    got = [r.paragraph for r in scannoise.paragraphs(both, 8, "box_idx", "").orderBy("paragraph_no").collect()]
+    assert got == ["是歲柳武永曰" * 2 + "是岁曰" + "是歲柳武永曰" * 5] * 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_both_texts_have_paragraphs(spark):
+    from inkweave.llm import queries
+
+    assert {r.entity for r in queries.p1_paragraphs(spark, "/root/testdata/sf0.001").select("entity").distinct().collect()} == {"vi_sentences", "han_boxes"}
+
+
 def test_paragraphs(spark):
     rows = [("v", 1, 1, k, f"i{k}", f"s{k}" if k != 3 else None) for k in range(8)]
     df = spark.createDataFrame(rows, "vol string, chapter int, page int, sent_idx int, id string, repaired string")
