@@ -21,28 +21,38 @@ BREAK = ""
 _STOPS, _MASKS = ".!?…。;,", ""
 _MASK = dict(zip(_STOPS, _MASKS))
 
-#: Longest quotation, in characters, whose stops are masked; without such a bound long texts cost their square.
-QUOTED = 2000
-
 # Abbreviations before a name, a number or at the end of an enumeration.
 ABBREVIATIONS = "Ng NXB TS Ph PGS GS ThS BS KS Th Tr TP Tx ô Ô t q tr Tr vd VD x cf"
 
 
-def _mask_stops(text: Column, where: str) -> Column:
-    """Masks each stop that ``where`` finds; ``where`` has one '%s' for the stop's class."""
-    for stop, mask in _MASK.items():
-        if stop != ",":
-            text = F.regexp_replace(text, where % (r"\x{%x}" % ord(stop)), mask)
-    return text
+def _masked(text: Column) -> Column:
+    return F.translate(text, _STOPS.replace(",", ""), "".join(m for stop, m in _MASK.items() if stop != ","))
+
+
+def _mask_quoted(text: Column, opening: str, closing: str) -> Column:
+    """Masks the stops whose next quotation mark closes, however far it is; every stretch is read once."""
+    marks = opening + closing
+    pieces = F.regexp_extract_all(text, F.lit(f"[^{marks}]*+[{marks}]|[^{marks}]++"), F.lit(0))
+    masked = F.array_join(F.transform(pieces, lambda x: F.when(F.right(x, F.lit(1)).isin(*closing), _masked(x)).otherwise(x)), "")
+    return F.when(text.rlike(f"[{closing}]"), masked).otherwise(text)
+
+
+_LINK = r"(?:https?://|www\.)"
+
+
+def _mask_links(text: Column) -> Column:
+    """Masks the stops of links of any length; one at the end of a link is none of its own."""
+    pieces = F.split(F.regexp_replace(text, rf"({_LINK}[^\s«»\"]*+)", f"{BREAK}$1{BREAK}"), BREAK)
+    inner = lambda x: F.concat(_masked(F.substring(x, F.lit(1), F.length(x) - 1)), F.right(x, F.lit(1)))
+    linked = F.array_join(F.transform(pieces, lambda x: F.when(x.rlike(f"^{_LINK}"), inner(x)).otherwise(x)), "")
+    return F.when(text.contains("://") | text.contains("www."), F.regexp_replace(linked, r"(?<=www)\.", _MASK["."])).otherwise(text)
 
 
 def vi_marked(text: Column) -> Column:
     """A Vietnamese text with a boundary character behind every sentence but the last; null stays null."""
     t = nfc(strip_ignorable(text))
-    linked = _mask_stops(t, r"(?<=(?:https?://|www\.)[^\s«»\"]{0,200})%s(?=[^\s«»\"])")
-    # Looking back is slow, so only where there is a link.
-    t = F.when(text.contains("://") | text.contains("www."), F.regexp_replace(linked, r"(?<=www)\.", _MASK["."])).otherwise(t)
-    t = F.regexp_replace(t, rf'"([^"«»]{{0,{QUOTED}}}+)"', "«$1»")
+    t = _mask_links(t)
+    t = F.regexp_replace(t, r'"([^"«»]*+)"', "«$1»")
     dot = _MASK["."]
     # A page number that stands on a line of its own between stops.
     t = F.regexp_replace(t, r"(?m)^[ \t]*\.[ \t]*([0-9]{1,4})[ \t]*\.[ \t]*$", f"{dot}$1{dot}")
@@ -52,7 +62,7 @@ def vi_marked(text: Column) -> Column:
     t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{M}}])({'|'.join(sorted(set(ABBREVIATIONS.split())))})\.(?!\.)", f"$1{dot}")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{M}\p{N}])(\p{Lu})\.(?!\.)", f"$1{dot}")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{M}])(\p{L})\.(?=\p{L}\.)", f"$1{dot}")
-    t = _mask_stops(t, rf"%s(?=[^«»]{{0,{QUOTED}}}+»)")
+    t = _mask_quoted(t, "«", "»")
     t = F.regexp_replace(t, r"([.!?…]+[)\]”’]*)(?=\s*[^\s.!?…,;:)\]”’»])", f"$1{BREAK}")
     # A quotation introduced by a colon ends its sentence.
     return F.regexp_replace(t, rf"(:\s*«[^«»]*»)(?=\s*[^\s.!?…,;:)\]»{BREAK}])", f"$1{BREAK}")
@@ -92,7 +102,7 @@ def han_plain(text: Column) -> Column:
 
 def han_marked(plain: Column) -> Column:
     """A plain Chinese text with a boundary character behind every sentence but the last; null stays null."""
-    t = _mask_stops(F.regexp_replace(plain, r"\.", "。"), rf"%s(?=[^「」『』]{{0,{QUOTED}}}+[」』])")
+    t = _mask_quoted(F.regexp_replace(plain, r"\.", "。"), "「『", "」』")
     t = F.regexp_replace(t, r"([。!?;…]+[」』]*)(?=[^。!?;…」』])", f"$1{BREAK}")
     stopped = F.regexp_replace(t, rf"(:「[^「」]*」)(?=[^。!?;…」』,{BREAK}])", f"$1{BREAK}")
     bare = F.regexp_replace(plain, f"({STATEMENT})", f"$1{BREAK}")

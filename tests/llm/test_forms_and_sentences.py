@@ -83,3 +83,14 @@ def test_boundaries(spark, script, texts):
 def test_radical_signs_are_no_letters(spark):
     df = spark.createDataFrame([(1, "是⽉⼆人行。又")], "k int, t string")
     assert [r.boundary_at for r in sentences.sentence_boundaries(df, "t", "han", "k").collect()] == [3]
+
+
+def test_long_quotations_and_links(spark):
+    link = "https://a.vn/" + "x" * 300 + ".html?q=1"
+    vi = [f"Dụ: «{'Đi mau. ' * 900}Về!», Hà nghe.‖ Xong.", f'Hà nói "{"Đi mau. " * 900}Về" rồi thôi.‖ Xong.', f"Xem {link} nhé.‖ Xong.", f"{'Đi mau. ' * 3}‖«mở".replace(". Đ", ".‖ Đ").replace(". ‖", ".‖ ")]
+    han = [f"是歲，柳曰：「{'養老。' * 900}」‖是歲，重農。‖既而"]
+    for script, texts in (("vi", vi), ("han", han)):
+        df = spark.createDataFrame([(str(k), t.replace("‖", "")) for k, t in enumerate(texts)], "id string, t string")
+        got = {(r.id, r.boundary_at) for r in sentences.sentence_boundaries(df, "t", script, "id").collect()}
+        want = {(str(k), _letters("".join(t.split("‖")[: j + 1]))) for k, t in enumerate(texts) for j in range(t.count("‖"))}
+        assert got == want
