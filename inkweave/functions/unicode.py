@@ -28,6 +28,11 @@ def nfc(text: Column) -> Column:
     return _icu("compose", text, False)
 
 
+def nfd(text: Column) -> Column:
+    """Canonical decomposition; null stays null."""
+    return _icu("decompose", text, False)
+
+
 def nfkc(text: Column) -> Column:
     """Compatibility composition; null stays null."""
     return _icu("compose", text, True)

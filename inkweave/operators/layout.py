@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-COLUMN_GAP, NARROW, TINY_AREA, ROW_TOLERANCE, SPLIT_SPAN = 0.55, 0.62, 0.06, 12, 0.28
+# Shares of the page's median width (of its median area for tiny boxes, of its width for the
+# margin), the boxes that make a column double, pixels between rows, the least height of a line; and the head's zone,
+# its tallest line and the least gap below it, in middle values.
+COLUMN_GAP, NARROW, TINY_AREA, SPLIT_SPAN, HEAD_MARGIN, HEAD_NARROW = 0.55, 0.62, 0.06, 0.28, 0.16, 0.72
+DOUBLE, ROW_TOLERANCE, LINE_HEIGHT = 4, 12, 8
+HEAD_ZONE, HEAD_LINES, HEAD_GAP = 0.18, 1.8, 1.4
 
 
 def geometry(bbox: Column) -> dict[str, Column]:
@@ -49,28 +54,58 @@ def clustered(centres: Column, limit: Column) -> Column:
     return F.aggregate(centres, start, step, lambda a: a["out"])
 
 
-def columns_of_pages(boxes: DataFrame, page: list[str], gap: float = COLUMN_GAP) -> DataFrame:
+def tall_enough(boxes: DataFrame, least: int = LINE_HEIGHT) -> DataFrame:
+    """Lines of at least ``least`` pixels. Boxes that are not whole are left out."""
+    return boxes.where(geometry(F.col("bbox"))["bh"] >= least)
+
+
+def crop_window(bbox: Column, width: Column, height: Column, pad: int = 0, scale: int = 1) -> Column:
+    """(x0, y0, x1, y1) of a box widened by ``pad`` pixels (narrowed if negative), kept on the page, times ``scale``."""
+    low = lambda v: F.greatest(v - pad, F.lit(0)) * scale
+    high = lambda v, most: F.least(v + pad, most) * scale
+    return F.when(F.size(bbox) == 4, F.array(low(bbox[0]), low(bbox[1]), high(bbox[2], width), high(bbox[3], height)))
+
+
+def columns_of_pages(boxes: DataFrame, page: list[str], page_width: Column, head_phrases: tuple[str, ...] = (), gap: float = COLUMN_GAP) -> DataFrame:
     """page, column_no (from the right, 1), n, x0, y0, x1, y1, text, conf, is_double: the boxes of a page merged into columns.
 
-    Boxes are taken from the right; one joins the column whose running mean of centres is at most ``gap``
-    of the page's median width away. Texts are joined from the top; conf is the least. A page is a bounded
-    group (what fits on one sheet). Boxes that are not whole are left out. A column is double (interlinear) with
-    four boxes, or with three of which one is narrow and whose centres lie apart.
+    Tiny boxes are left out. Boxes are taken from the right; one joins the column whose running mean of centres
+    is at most ``gap`` of the page's median width away. The first and the last column are running heads if they
+    lie within the margin and are narrow, any column if its text holds a head phrase. A column is double
+    (interlinear) with four boxes, or with three of which one is narrow and whose centres lie apart; its right
+    half is read before its left one, each from the top. conf is the least. A page is a bounded group (what fits
+    on one sheet). Boxes that are not whole are left out; a null text is empty. ``page_width`` is an aggregate.
     """
     g = geometry(F.col("bbox"))
-    sized = boxes.select(*page, "id", "bbox", F.coalesce("sinonom", F.lit("")).alias("t"), "conf", g["cx"].alias("cx"), g["bw"].alias("bw")).where("cx is not null")
+    sized = boxes.select(*page, "id", "bbox", F.coalesce("sinonom", F.lit("")).alias("t"), "conf", *(g[k].alias(k) for k in ("cx", "cy", "bw", "area"))).where("cx is not null")
+    some = lambda c: F.coalesce(F.nullif(F.median(c), F.lit(0.0)), F.lit(1.0))
     pages = sized.groupBy(*page).agg(
-        F.median("bw").alias("w"),
-        F.sort_array(F.collect_list(F.struct((-F.col("cx")).alias("m"), "id", F.col("cx").alias("v"), "bbox", "t", "conf"))).alias("b"),
+        some("bw").alias("w"), some("area").alias("a"), page_width.alias("page_w"),
+        F.sort_array(F.collect_list(F.struct((-F.col("cx")).alias("m"), "id", F.col("cx").alias("v"), "cy", "bw", "area", "bbox", "t", "conf"))).alias("b"),
+    )
+    kept = pages.withColumn("b", F.filter("b", lambda x: x["area"] >= F.lit(TINY_AREA) * F.col("a"))).where(F.size("b") > 0)
+    named = kept.withColumn("c", clustered(F.col("b"), F.lit(gap) * F.col("w"))).withColumn("last", F.element_at("c", -1))
+    each = named.select(*page, "w", "page_w", "last", F.posexplode(F.arrays_zip("b", "c")).alias("k", "z")).select(*page, "w", "page_w", "last", "k", F.col("z.c").alias("c"), "z.b.*")
+    whole = each.groupBy(*page, "c", "w", "page_w", "last").agg(
+        F.sort_array(F.collect_list(F.struct("k", "v", "cy", "bw", "bbox", "t"))).alias("b"), F.avg("v").alias("mean_x"), F.avg("bw").alias("mean_w"),
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.round(F.min("conf"), 3).alias("conf"),
+    )
+    margin = F.lit(HEAD_MARGIN) * F.col("page_w")
+    strip = F.col("c").isin(0) | (F.col("c") == F.col("last"))
+    strip = strip & ((F.col("mean_x") < margin) | (F.col("mean_x") > F.col("page_w") - margin)) & (F.col("mean_w") < F.lit(HEAD_NARROW) * F.col("w"))
+    read = F.array_join("b.t", "")
+    for phrase in head_phrases:
+        strip = strip | read.contains(phrase)
+    body = whole.where(~strip)
+    n, narrow = F.size("b"), F.exists("b", lambda x: x["bw"] < F.lit(NARROW) * F.col("w"))
+    double = (n >= DOUBLE) | ((n >= 3) & narrow & (F.col("hi") - F.col("lo") > F.lit(SPLIT_SPAN) * F.col("w")))
+    placed = body.withColumn("is_double", double).withColumn(
+        "b", F.array_sort(F.transform("b", lambda x: F.struct((F.col("is_double") & (x["v"] < (F.col("hi") + F.col("lo")) / 2)).alias("left"), x["cy"].alias("cy"), x["k"].alias("k"), x["bbox"].alias("bbox"), x["t"].alias("t"))))
     )
-    named = pages.withColumn("c", clustered(F.col("b"), F.lit(gap) * F.col("w")))
-    each = named.select(*page, "w", F.explode(F.arrays_zip("b", "c")).alias("z")).select(*page, "w", F.col("z.c").alias("c"), "z.b.*")
-    return each.groupBy(*page, (F.col("c") + 1).alias("column_no")).agg(
-        F.count("*").alias("n"), F.min(F.col("bbox")[0]).alias("x0"), F.min(F.col("bbox")[1]).alias("y0"), F.max(F.col("bbox")[2]).alias("x1"),
-        F.max(F.col("bbox")[3]).alias("y1"), F.array_join(F.sort_array(F.collect_list(F.struct(F.col("bbox")[1].alias("y"), "id", "t")))["t"], "").alias("text"),
-        F.round(F.min("conf"), 3).alias("conf"),
-        ((F.count("*") >= 4) | ((F.count("*") >= 3) & F.bool_or((F.col("bbox")[2] - F.col("bbox")[0]) <= F.lit(NARROW) * F.col("w"))
-                                & (F.max("v") - F.min("v") > F.lit(SPLIT_SPAN) * F.max("w")))).alias("is_double"),
+    side = lambda k: F.transform("b", lambda x: x["bbox"][k])
+    return placed.select(
+        *page, F.row_number().over(W.partitionBy(*page).orderBy("c")).alias("column_no"), F.size("b").cast("bigint").alias("n"), F.array_min(side(0)).alias("x0"), F.array_min(side(1)).alias("y0"),
+        F.array_max(side(2)).alias("x1"), F.array_max(side(3)).alias("y1"), F.array_join("b.t", "").alias("text"), "conf", "is_double",
     )
 
 
@@ -98,22 +133,24 @@ def reading_order(boxes: DataFrame, page: list[str], tolerance: int = ROW_TOLERA
 def header_crop(profile: DataFrame, page: list[str], height: str, width: str) -> DataFrame:
     """page, crop_y: where the head of a page ends, from its rows of pixels (page, y, ink, height, width).
 
-    Rows with ink over 1.2 % of the width form bands, joined over gaps of at most max(4, 0.4 % of the height).
-    If the first band lies in the top 18 %, is no taller than 1.8 times the middle band and is followed by a
-    gap of at least 1.4 times the middle gap, the crop is 0.4 middle gaps above the second band, else 0.
-    Middle values are the upper ones of an even number.
+    Rows with ink over 1.2 % of the width form bands; bands whose rows lie at most max(4, 0.4 % of the height)
+    apart are one. If the first band begins in the head's zone, is no taller than HEAD_LINES middle bands and
+    the way to the second is at least HEAD_GAP middle ways and over half a middle band, the crop is 0.4 middle
+    ways above the second band, else 0. A way is the difference of the rows beside it; middle values are the
+    upper ones of an even number. Pages with one band or none give no crop.
     """
+    every = profile.groupBy(*page).agg(F.max(height).alias("__h"))
     inked = profile.where(F.col("ink") > F.col(width) * 0.012)
     w = W.partitionBy(*page).orderBy("y")
-    gap = F.greatest(F.lit(4.0), F.col(height) * 0.004)
-    new = F.coalesce((F.col("y") - F.lag("y").over(w) - 1 > gap).cast("int"), F.lit(1))
-    bands = inked.withColumn("new", new).withColumn("band", F.sum("new").over(w)).groupBy(*page, "band").agg(
-        F.min("y").alias("y0"), (F.max("y") + 1).alias("y1"), F.max(height).alias("h")
-    )
-    gathered = bands.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("y0", "y1"))).alias("b"), F.max("h").alias("h")).where(F.size("b") >= 2)
+    least = F.greatest(F.lit(4), F.floor(F.col(height) * 0.004))
+    new = F.coalesce((F.col("y") - F.lag("y").over(w) > least).cast("int"), F.lit(1))
+    bands = inked.withColumn("new", new).withColumn("band", F.sum("new").over(w)).groupBy(*page, "band").agg(F.min("y").alias("y0"), F.max("y").alias("y1"))
+    gathered = bands.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("y0", "y1"))).alias("b")).where(F.size("b") >= 2)
     middle = lambda a: F.element_at(F.sort_array(a), (F.floor(F.size(a) / 2) + 1).cast("int"))
-    heights = F.transform("b", lambda x: x["y1"] - x["y0"])
-    gaps = F.transform(F.sequence(F.lit(1), F.size("b") - 1), lambda k: F.element_at("b", k + 1)["y0"] - F.element_at("b", k)["y1"])
+    heights = F.transform("b", lambda x: x["y1"] - x["y0"] + 1)
+    ways = F.transform(F.sequence(F.lit(1), F.size("b") - 1), lambda k: F.element_at("b", k + 1)["y0"] - F.element_at("b", k)["y1"])
     first, second = F.col("b")[0], F.col("b")[1]
-    head = (first["y1"] <= F.col("h") * 0.18) & (heights[0] <= middle(heights) * 1.8) & (gaps[0] >= middle(gaps) * 1.4)
-    return gathered.select(*page, F.when(head, F.floor(second["y0"] - middle(gaps) * 0.4)).otherwise(0).cast("int").alias("crop_y"))
+    head = (first["y0"] < F.col("__h") * HEAD_ZONE) & (heights[0] <= middle(heights) * HEAD_LINES) & (ways[0] >= middle(ways) * HEAD_GAP) & (ways[0] > middle(heights) * 0.5)
+    crop = F.greatest(second["y0"] - F.floor(middle(ways) * 0.4), F.lit(0))
+    cut = every.join(gathered, page, "left")
+    return cut.select(*page, F.when(head, crop).otherwise(0).cast("int").alias("crop_y"))

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkweave.functions.text import CJK, cjk_chars
-
-#: A lexicon of more rows than this is joined by a shuffle instead of broadcast.
-MOST_BROADCAST = 200_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
-
+from inkweave.functions.text import CJK, cjk_chars, normal_tone
 
 def transliterated(df: DataFrame, key: list[str], text: str, lexicon: DataFrame, char: str, reading: str, default: str = "?", ranges: str = CJK) -> DataFrame:
     """key, readings: the reading of every ideograph of a text in order, joined by spaces.
@@ -24,7 +18,7 @@ def transliterated(df: DataFrame, key: list[str], text: str, lexicon: DataFrame,
     """
     first = lexicon.where(F.col(reading).isNotNull() & F.col(char).isNotNull()).groupBy(F.col(char).alias("__c")).agg(F.min(reading).alias("__r"))
     chars = df.select(*key, F.posexplode_outer(cjk_chars(F.col(text), ranges)).alias("__pos", "__c"))
-    met = chars.join(_small(first), "__c", "left")
+    met = chars.join(first, "__c", "left")
     word = F.when(F.col("__c").isNotNull(), F.coalesce("__r", F.lit(default)))
     listed = met.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(word.isNotNull(), F.struct("__pos", word.alias("w"))))).alias("x"))
     return listed.select(*key, F.array_join("x.w", " ").alias("readings"))
@@ -50,10 +44,63 @@ def merged_by_priority(sources: list[tuple[str, DataFrame]], key: str, value: st
     return one.select("key", F.col("top.value").alias("value"), F.col("top.source").alias("source"), F.array_distinct("x.value").alias("all_values"))
 
 
-def fallback_reading(variants: DataFrame, readings: DataFrame) -> DataFrame:
-    """char, reading: of the first variant in code point order that has a reading. ``variants`` has char, variant."""
-    met = variants.join(readings.select(F.col("char").alias("variant"), "reading"), "variant")
-    return met.groupBy("char").agg(F.min_by("reading", F.struct("variant", "reading")).alias("reading"))
+def inverted_in_order(lexicon: DataFrame, key: str, values: str, order: str, out_key: str = "value", out_values: str = "keys") -> DataFrame:
+    """Multimap the other way round, the keys of a value in the order of their rows and distinct. Nulls are left out."""
+    each = lexicon.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(order).alias("o"), F.posexplode(values).alias("p", out_key)).where(F.col(out_key).isNotNull())
+    listed = each.groupBy(out_key).agg(F.array_sort(F.collect_list(F.struct("o", "p", "k"))).alias("x"))
+    return listed.select(out_key, F.array_distinct("x.k").alias(out_values))
+
+
+def variant_reading(variants: DataFrame, sources: list[DataFrame]) -> DataFrame:
+    """char, reading: of the first variant in code point order that any source reads; of its sources the first.
+
+    ``variants`` has char, variants (an array); each source char, readings (an array, its first counts).
+    """
+    each = variants.select("char", F.explode("variants").alias("v"))
+    said = None
+    for k, source in enumerate(sources):
+        one = source.where(F.size("readings") > 0).select(F.col("char").alias("v"), F.col("readings")[0].alias("reading"), F.lit(k).alias("rank"))
+        said = one if said is None else said.unionByName(one)
+    return each.join(said, "v").groupBy("char").agg(F.min_by("reading", F.struct("v", "rank")).alias("reading"))
+
+
+def built_readings(readings: DataFrame, kanji: DataFrame, supplement: DataFrame, taught: DataFrame, variants: DataFrame) -> DataFrame:
+    """char, reading, all_readings, source of every ideograph that any source reads.
+
+    ``readings``, ``kanji`` and ``taught`` have char, readings; ``supplement`` char, reading; ``variants`` char,
+    variants. The primary reading is that of the first source in this order: readings, kanji, supplement,
+    taught, a variant's. all_readings has the primary and those of readings, kanji and taught, in order, distinct.
+    """
+    borrowed = variant_reading(variants, [readings, kanji])
+    tagged = [
+        readings.select("char", F.lit("readings").alias("source"), F.lit(0).alias("rank"), "readings"),
+        kanji.select("char", F.lit("kanji").alias("source"), F.lit(1).alias("rank"), "readings"),
+        supplement.select("char", F.lit("supplement").alias("source"), F.lit(2).alias("rank"), F.array(normal_tone(F.col("reading"))).alias("readings")),
+        taught.select("char", F.lit("taught").alias("source"), F.lit(3).alias("rank"), "readings"),
+        borrowed.select("char", F.lit("variant").alias("source"), F.lit(4).alias("rank"), F.array("reading").alias("readings")),
+    ]
+    every = reduce(DataFrame.unionByName, tagged).where((F.size("readings") > 0) & F.col("char").rlike(f"^{CJK}$"))
+    listed = every.groupBy("char").agg(F.array_sort(F.collect_list(F.struct("rank", "source", "readings"))).alias("s"))
+    first = F.col("s")[0]
+    primary = first["readings"][0]
+    shown = F.flatten(F.transform(F.filter("s", lambda x: x["rank"].isin(0, 1, 3)), lambda x: x["readings"]))
+    every_one = F.array_distinct(F.filter(F.concat(F.array(primary), shown), lambda r: r != ""))
+    return listed.select("char", primary.alias("reading"), every_one.alias("all_readings"), first["source"].alias("source"))
+
+
+def built_words(readings: DataFrame, sample: DataFrame) -> DataFrame:
+    """key, values: every reading with its characters, merged with a sample (key, values); sorted and distinct."""
+    turned = readings.select(F.explode("all_readings").alias("key"), F.col("char").alias("v"))
+    given = sample.select("key", F.explode("values").alias("v"))
+    return turned.union(given).groupBy("key").agg(F.sort_array(F.collect_set("v")).alias("values"))
+
+
+def built_similar(sample: DataFrame, variants: DataFrame) -> DataFrame:
+    """key, values: look-alikes of a character: the curated ones in their order, then its variants, last itself; distinct."""
+    met = sample.select(F.col("key").alias("char"), F.col("values").alias("c")).join(variants, "char", "full")
+    none = F.array().cast("array<string>")
+    values = F.array_distinct(F.concat(F.coalesce("c", none), F.sort_array(F.coalesce("variants", none)), F.array("char")))
+    return met.select(F.col("char").alias("key"), values.alias("values"))
 
 
 def validated_pairs(pairs: DataFrame, similar: DataFrame, readings: DataFrame) -> DataFrame:
@@ -64,7 +111,7 @@ def validated_pairs(pairs: DataFrame, similar: DataFrame, readings: DataFrame) -
     """
     s2 = readings.select(F.lower(F.trim("key")).alias("__q"), F.col("values").alias("__s2")).groupBy("__q").agg(F.flatten(F.collect_list("__s2")).alias("__s2"))
     s1 = similar.select(F.col("key").alias("sn"), F.col("values").alias("__s1"))
-    met = pairs.withColumn("__q", F.lower(F.trim("qn"))).join(_small(s2), "__q", "left").join(_small(s1), "sn", "left")
+    met = pairs.withColumn("__q", F.lower(F.trim("qn"))).join(s2, "__q", "left").join(s1, "sn", "left")
     have = F.coalesce("__s2", F.array().cast("array<string>"))
     alike = F.coalesce("__s1", F.array("sn"))
     first = F.try_element_at(F.filter(alike, lambda c: F.array_contains(have, c)), F.lit(1))
@@ -84,12 +131,32 @@ def oov_rates(rows: DataFrame, key: list[str], tokens: Column, vocabulary: DataF
     """key, n_tokens, oov_rate: repeated tokens count each time; no tokens: 0.0."""
     each = rows.select(*key, F.explode_outer(tokens).alias("token"))
     known = vocabulary.select("token").distinct().withColumn("known", F.lit(1))
-    met = each.join(_small(known), "token", "left")
+    met = each.join(known, "token", "left")
     agg = met.groupBy(*key).agg(F.count("token").alias("n"), F.count(F.when(F.col("token").isNotNull() & F.col("known").isNull(), 1)).alias("oov"))
     rate = F.round(F.when(F.col("n") > 0, F.col("oov") / F.col("n")).otherwise(0.0), 3)
     return agg.select(*key, F.col("n").alias("n_tokens"), rate.alias("oov_rate"))
 
 
+def known_rows(rows: DataFrame, key: list[str], tokens: Column, vocabulary: DataFrame, least: int = 2, ratio: float = 0.5) -> DataFrame:
+    """key, n, known: rows of at least ``least`` tokens of which at least ``ratio`` are in the vocabulary.
+
+    An empty vocabulary keeps every row, as nothing can be said about it; known is null then.
+    """
+    each = rows.select(*key, F.explode_outer(tokens).alias("token"))
+    met = each.join(vocabulary.select("token").distinct().withColumn("__hit", F.lit(1)), "token", "left")
+    agg = met.groupBy(*key).agg(F.count("token").alias("n"), F.count("__hit").alias("__known"))
+    empty = vocabulary.limit(1).agg(F.count("*") == 0).scalar()
+    kept = agg.where(empty | ((F.col("n") >= least) & (F.col("__known") >= ratio * F.col("n"))))
+    return kept.select(*key, "n", F.round(F.when(~empty, F.col("__known") / F.col("n")), 3).alias("known"))
+
+
+def unknown_tokens(rows: DataFrame, key: list[str], tokens: Column, vocabulary: DataFrame) -> DataFrame:
+    """key, unknown: the tokens of each row outside the vocabulary, each once, in order of appearance. Rows without any are left out."""
+    each = rows.select(*key, F.posexplode(F.array_distinct(tokens)).alias("k", "token"))
+    out = each.join(vocabulary.select("token").distinct(), "token", "left_anti")
+    return out.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("x")).select(*key, F.col("x.token").alias("unknown"))
+
+
 def ordered_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order."""
     w = W.partitionBy(*key).orderBy(*order)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# The edges of the histograms of confidence and similarity.
 CONF_EDGES = [0.0, 0.3, 0.5, 0.7, 0.8, 0.9, 1.0001]
 SIM_EDGES = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 1.0001]
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,69 +35,73 @@ def sequence_accuracy(rows: DataFrame, key: list[str], text: str, reading: str,
     return agg.withColumn("accuracy", F.round((F.col("black") + F.col("green")) / F.col("n"), 4))
 
 
-def token_distance(a: list[str], b: list[str]) -> int:
-    """Edit distance of two token lists."""
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        before, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
-    return row[-1]
+def token_similarity(a: Column, b: Column) -> Column:
+    """1 - distance / length of the longer token list; null lists are empty; two empty lists are alike.
 
+    Each distinct token of the two lists stands for one character, so the distance is that of two strings.
+    """
+    none = F.array().cast("array<string>")
+    x, y = F.coalesce(a, none), F.coalesce(b, none)
+    both = F.array_union(x, y)
+    coded = lambda tokens: F.array_join(F.transform(tokens, lambda t: _letter(F.array_position(both, t).cast("int"))), "")
+    longest = F.greatest(F.size(x), F.size(y), F.lit(1))
+    return F.when(x == y, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(coded(x), coded(y)) / longest)
 
-def token_similarity(a: Column, b: Column) -> Column:
-    """1 - distance / length of the longer token list; null lists are empty; two empty lists are alike."""
 
-    @F.pandas_udf("double")
-    def score(x: pd.Series, y: pd.Series) -> pd.Series:
-        as_list = lambda v: [] if v is None else list(v)
-        return pd.Series([1 - token_distance(as_list(p), as_list(q)) / max(len(as_list(p)), len(as_list(q)), 1) for p, q in zip(x, y)])
+_LETTERS = "".join(map(chr, range(0xE000, 0xF900)))
+
+
+def _letter(number: Column) -> Column:
+    """A character of its own for every number from 1: of the private use area, beyond it of the planes behind."""
+    beyond = F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint") + 0xF0000), 8, "0")), "UTF-32")
+    return F.when(number <= len(_LETTERS), F.substring(F.lit(_LETTERS), number, F.lit(1))).otherwise(beyond)
+
 
-    return score(a, b)
+# ---------------------------------------------------------------- provenance
 
+_STEPS = [(r"-\s*\n\s*", ""), (r"\s*\n\s*", " "), (r"[ \t]{2,}", " "), (r"^ +| +$", ""), *((p, t) for _, p, t in CLEANING), (r"\s{2,}", " "), (SPACE_BEFORE_MARK, "$1"), (r"^ +| +$", "")]
 
-def replayed(text: str, places: list[int], pattern: str, to: str) -> tuple[str, list[int]]:
-    """``re.sub`` that carries the place of each character. Kept groups keep theirs; new characters take that of the match."""
-    out, at_of, at = [], [], 0
-    for m in re.finditer(pattern, text):
-        out.append(text[at : m.start()])
-        at_of += places[at : m.start()]
-        if to == r"\1":
-            out.append(m[1])
-            at_of += places[m.start(1) : m.end(1)]
-        else:
-            out.append(to)
-            at_of += [places[m.start()]] * len(to) if m.start() < len(places) else []
-        at = m.end()
-    return "".join(out) + text[at:], at_of + places[at:]
 
+def _pieces(text: Column, pattern: str) -> Column:
+    """A text as an array in which stretches that match and those between them take turns, beginning with one between.
 
-_STEPS = [
-    (r"-\s*\n\s*", ""), (r"\s*\n\s*", " "), (r"[ \t]{2,}", " "), (r"^ +| +$", ""), *((p, t) for _, p, t in CLEANING),
-    (r"\s{2,}", " "), (SPACE_BEFORE_MARK, r"\1"), (r"^ +| +$", ""),
-]
+    The bounds are set as control characters, which a page's text does not hold.
+    """
+    return F.split(F.regexp_replace(text, f"({pattern})", "\x02$1\x03"), "[\x02\x03]")
+
+
+def _replayed(state: Column, pattern: str, to: str) -> Column:
+    """One replacement on (text, places): kept characters keep their places; new ones take that of the match's first."""
+    parts = F.transform(_pieces(state["text"], pattern), lambda p, k: F.struct(p.alias("p"), (k % 2 == 1).alias("hit")))
+    new = lambda p: F.regexp_replace(p, pattern, to) if to == "$1" else F.lit(to)
+    start = F.struct(F.lit("").alias("text"), F.array().cast("array<int>").alias("places"), F.lit(0).alias("at"))
+
+    def step(a: Column, x: Column) -> Column:
+        n = F.length(x["p"])
+        here = F.slice(state["places"], a["at"] + 1, n)
+        made = new(x["p"])
+        # A kept last group ends the match, so its places are the last ones.
+        moved = F.slice(here, n - F.length(made) + 1, F.length(made)) if to == "$1" else F.transform(F.slice(here, F.lit(1), F.least(n, F.lit(len(to)))), lambda v: v)
+        text = F.concat(a["text"], F.when(x["hit"], made).otherwise(x["p"]))
+        places = F.concat(a["places"], F.when(x["hit"], moved).otherwise(here))
+        return F.struct(text.alias("text"), places.alias("places"), (a["at"] + n).alias("at"))
+
+    return F.aggregate(parts, start, step, lambda a: F.struct(a["text"].alias("text"), a["places"].alias("places")))
 
 
 def with_provenance(df: DataFrame, text: str) -> DataFrame:
     """``df`` with clean and places: the text after joining lines and cleaning, and for each of its characters
-    the place (from 0) in the original. Places are null where the replay differs from the plain cleaner."""
-
-    @F.pandas_udf("struct<clean:string,places:array<int>>")
-    def replay(s: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in s:
-            if not isinstance(t, str):
-                rows.append((None, None))
-                continue
-            places = list(range(len(t)))
-            for pattern, to in _STEPS:
-                t, places = replayed(t, places, re.sub(r"\\s", lambda _: r"[ \\t\\n\\x0b\\f\\r]".replace("\\\\", "\\"), pattern) if "[" not in pattern else pattern, to)
-            rows.append((t, places))
-        return pd.DataFrame(rows, columns=["clean", "places"])
-
-    plain = cleaned(normal_block(F.col(text)))[0]
-    made = df.withColumn("__r", replay(text)).withColumn("clean", plain)
-    return made.withColumn("places", F.when(F.col("__r.clean").eqNullSafe(F.col("clean")), F.col("__r.places"))).drop("__r")
+    the place (from 0) in the original. Places are null where the replay differs from the plain cleaner.
+
+    Every rule is a step of its own, taken only by texts that it changes; the rest passes untouched.
+    """
+    t = F.coalesce(text, F.lit(""))
+    begin = F.struct(t.alias("text"), F.when(F.length(t) > 0, F.sequence(F.lit(0), F.greatest(F.length(t) - 1, F.lit(0)))).otherwise(F.array().cast("array<int>")).alias("places"))
+    made = df.withColumn("__s", begin)
+    for pattern, to in _STEPS:
+        made = made.withColumn("__s", F.when(F.col("__s.text").rlike(pattern), _replayed(F.col("__s"), pattern, to)).otherwise(F.col("__s")))
+    made = made.withColumn("clean", cleaned(normal_block(F.col(text)))[0])
+    return made.withColumn("places", F.when(F.col("__s.text") == F.col("clean"), F.col("__s.places"))).drop("__s")
 
 
 def mapped_characters(text: Column, pairs: str) -> tuple[Column, Column]:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from inkweave.functions.text import cjk_chars
+
 
 def with_offsets(rows: DataFrame, key: list[str], order: list[str], length: Column, separator: int = 1) -> DataFrame:
     """``rows`` with start_at and end_at (exclusive) in the stream of their key; ``separator`` characters stand between rows."""
@@ -61,3 +63,59 @@ def resegmented(rows: DataFrame, key: list[str], order: list[str], text: str, so
         F.min("__n").alias("__first"),
     )
     return gathered.withColumn("seg_no", F.row_number().over(W.partitionBy(*key).orderBy("__first"))).select(*key, "seg_no", "segment", "source_ids")
+
+
+def stream_characters(rows: DataFrame, key: list[str], order: list[str], text: str) -> DataFrame:
+    """``key``, row_no (place of the row in its key, from 1), id, page, pos (place in the stream, from 0), c: the rows' characters as one stream."""
+    laid = with_offsets(rows, key, order, F.length(F.coalesce(text, F.lit(""))), separator=0)
+    chars = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?s)."), F.lit(0))
+    each = laid.select(*key, "row_no", "id", "page", "start_at", F.posexplode(chars).alias("k", "c"))
+    return each.select(*key, "row_no", "id", "page", (F.col("start_at") + F.col("k")).alias("pos"), "c")
+
+
+def rebuilt_sentences(boxes: DataFrame, marks: DataFrame, key: list[str], order: list[str], text: str, final_marks: str) -> DataFrame:
+    """key, page, sent_idx, segment, box_ids, is_dbl: the rows of each key cut at marks that a model has set.
+
+    ``marks`` has key, pos, mark: the mark behind a character of the stream of all rows that are not double
+    (``is_dbl``), in order; marks beyond the stream say nothing. A sentence may span rows and pages; it
+    belongs to the page of its first row, and box_ids are its rows in order. A double row is a sentence of its
+    own. Both stand in the order of their first rows; sent_idx counts per page from 1. Empty rows give none.
+    """
+    placed = boxes.withColumn("row_no", F.row_number().over(W.partitionBy(*key).orderBy(*order)))
+    double = F.coalesce("is_dbl", F.lit(False))
+    chars = stream_characters(placed.where(~double), key, order, text)
+    final = marks.where(F.lit(final_marks).contains(F.col("mark")) & (F.col("mark") != "")).select(*key, "pos", F.lit(1).alias("__final")).distinct()
+    marked = chars.join(final, [*key, "pos"], "left")
+    earlier = W.partitionBy(*key).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    cut = marked.withColumn("__seg", F.coalesce(F.sum("__final").over(earlier), F.lit(0)))
+    main = cut.groupBy(*key, "__seg").agg(F.sort_array(F.collect_list(F.struct("pos", "c", "row_no", "id", "page"))).alias("x")).select(
+        *key, F.col("x")[0]["row_no"].alias("row_no"), F.col("x")[0]["pos"].alias("pos"), F.col("x")[0]["page"].alias("page"),
+        F.array_join("x.c", "").alias("segment"), F.array_distinct("x.id").alias("box_ids"), F.lit(False).alias("is_dbl"),
+    )
+    own = placed.where(double & (F.coalesce(text, F.lit("")) != "")).select(
+        *key, "row_no", F.lit(-1).cast("bigint").alias("pos"), "page", F.col(text).alias("segment"), F.array("id").alias("box_ids"), F.lit(True).alias("is_dbl")
+    )
+    place = F.row_number().over(W.partitionBy(*key, "page").orderBy("row_no", "pos"))
+    return main.unionByName(own).select(*key, "page", place.alias("sent_idx"), "segment", "box_ids", "is_dbl")
+
+
+def page_sentences(boxes: DataFrame, page: list[str], order: list[str], text: str, all_marks: str, final_marks: str, least: float = 0.01) -> DataFrame:
+    """page, sent_no, segment, box_ids, is_dbl: the sentences of every page.
+
+    Where the marks are at least ``least`` of the ideographs, the page's text is cut behind final marks (a
+    sentence may span boxes, and is double if any of them is); else every box is a sentence.
+    """
+    t = F.coalesce(text, F.lit(""))
+    share = F.sum(F.length(t) - F.length(F.translate(t, final_marks, ""))) / F.nullif(F.sum(F.size(cjk_chars(t))), F.lit(0))
+    by_marks = boxes.groupBy(*page).agg(F.coalesce(share >= least, F.lit(False)).alias("__cut"))
+    placed = boxes.withColumn("row_no", F.row_number().over(W.partitionBy(*page).orderBy(*order))).join(by_marks, page)
+    dbl = F.coalesce("is_dbl", F.lit(False)).alias("is_dbl")
+    chars = placed.where("__cut").select(*page, "row_no", "id", dbl, F.posexplode(F.regexp_extract_all(t, F.lit("(?s)."), F.lit(0))).alias("k", "c"))
+    at = W.partitionBy(*page).orderBy("row_no", "k")
+    cut = chars.withColumn("__seg", F.coalesce(F.sum(F.lit(final_marks).contains(F.col("c")).cast("int")).over(at.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    spans = cut.groupBy(*page, "__seg").agg(F.sort_array(F.collect_list(F.struct("row_no", "k", "c", "id"))).alias("x"), F.bool_or("is_dbl").alias("is_dbl")).select(
+        *page, F.col("__seg").cast("bigint").alias("at"), F.array_join("x.c", "").alias("segment"), F.array_distinct("x.id").alias("box_ids"), "is_dbl"
+    )
+    whole = placed.where("NOT __cut").select(*page, F.col("row_no").cast("bigint").alias("at"), t.alias("segment"), F.array("id").alias("box_ids"), dbl)
+    number = F.row_number().over(W.partitionBy(*page).orderBy("at"))
+    return spans.unionByName(whole).select(*page, number.alias("sent_no"), "segment", "box_ids", "is_dbl")

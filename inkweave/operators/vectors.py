@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Modes of the alignment, in the order in which they are tried, and the least similarity that costs nothing.
+from inkweave.functions.text import lexical_similarity
+
+# Modes of the alignment, in the order in which they are tried, the least similarity that costs
+# nothing, and below what similarity and lexical agreement a pair is suspect.
 MODES = [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (1, 0), (0, 1), (2, 2)]
 FREE = 0.50
+SUSPECT_SIMILARITY, SUSPECT_LEXICAL = 0.45, 0.05
 
 
 def unit(vector: Column) -> Column:
@@ -113,3 +117,55 @@ def aligned_vectors(rows: DataFrame, key: list[str], side: str, order: str, vect
     fields = ", ".join(f"`{k}` {kinds[k]}" for k in key)
     picked = rows.select(*key, side, order, vector).where(F.col(vector).isNotNull())
     return picked.groupBy(*key).applyInPandas(run, f"{fields}, pair_no int, left array<{kinds[order]}>, right array<{kinds[order]}>, similarity double")
+
+
+def sparse_product(a: Column, b: Column) -> Column:
+    """Sum of the products of the weights that two maps share; 0.0 if they share none."""
+    shared = F.array_intersect(F.map_keys(a), F.map_keys(b))
+    return F.coalesce(F.aggregate(shared, F.lit(0.0), lambda s, k: s + F.try_element_at(a, k) * F.try_element_at(b, k)), F.lit(0.0))
+
+
+def pair_texts(pairs: DataFrame, left: DataFrame, right: DataFrame, key: list[str], order: str) -> DataFrame:
+    """``pairs`` (key, pair_no, left, right, similarity) with ids, texts and scores of both sides.
+
+    ``left`` has key, ``order``, id, text, reading, weights (map<string,double>), ``right`` key, ``order``, id,
+    text, weights. Texts of the left are joined without a space, readings and the right's with one; weights of
+    several rows are added up. lexical is the agreement of reading and right text, sparse the product of the
+    weights (0 for a skip).
+    """
+    def side(rows: DataFrame, which: str, glue: str, extra: list[str]) -> DataFrame:
+        each = pairs.select(*key, "pair_no", F.posexplode(which).alias("__k", order))
+        met = each.join(rows.select(*key, order, "id", "text", "weights", *extra), [*key, order])
+        added = met.select(*key, "pair_no", F.explode("weights").alias("t", "w")).groupBy(*key, "pair_no", "t").agg(F.sum("w").alias("w"))
+        added = added.groupBy(*key, "pair_no").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("t", "w")))).alias(f"{which}_weights"))
+        listed = met.groupBy(*key, "pair_no").agg(F.sort_array(F.collect_list(F.struct("__k", "id", "text", *extra))).alias("x"))
+        told = [F.array_join(f"x.{e}", " ").alias(f"{which}_{e}") for e in extra]
+        return listed.select(*key, "pair_no", F.col("x.id").alias(f"{which}_ids"), F.array_join("x.text", glue).alias(f"{which}_text"), *told).join(added, [*key, "pair_no"], "left")
+
+    at = [*key, "pair_no"]
+    met = pairs.join(side(left, "left", "", ["reading"]), at, "left").join(side(right, "right", " ", []), at, "left")
+    none, text = F.array().cast("array<string>"), lambda c: F.coalesce(c, F.lit(""))
+    return met.select(
+        *at, F.coalesce("left_ids", none).alias("left_ids"), F.coalesce("right_ids", none).alias("right_ids"), text("left_text").alias("left_text"),
+        text("left_reading").alias("left_reading"), text("right_text").alias("right_text"), "similarity",
+        lexical_similarity(text("left_reading"), text("right_text")).alias("lexical"),
+        F.round(F.coalesce(sparse_product(F.col("left_weights"), F.col("right_weights")), F.lit(0.0)), 3).alias("sparse"),
+    )
+
+
+def suspects_flagged(pairs: DataFrame, scope: list[str], similarity: str, lexical: str, sparse: str, text: str) -> DataFrame:
+    """``pairs`` with suspect and suspect_sparse.
+
+    Both need a low similarity; the first a low lexical score, the second a sparse score below the tenth
+    percentile (interpolated, 3 places; 0 without any) of the ``scope``'s pairs with text and a sparse score.
+    """
+    counts = (F.coalesce(text, F.lit("")) != "") & (F.col(sparse) > 0)
+    limit = pairs.groupBy(*scope).agg(F.coalesce(F.round(F.percentile(F.when(counts, F.col(sparse)), 0.1), 3), F.lit(0.0)).alias("__p10"))
+    low = F.col(similarity) < SUSPECT_SIMILARITY
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    return pairs.join(limit, scope).withColumns({"suspect": flag(low & (F.col(lexical) < SUSPECT_LEXICAL)), "suspect_sparse": flag(low & (F.col(sparse) < F.col("__p10")))}).drop("__p10")
+
+
+def suspect_counts(flagged: DataFrame, scope: list[str]) -> DataFrame:
+    """``scope``, pairs, suspects, suspects_sparse."""
+    return flagged.groupBy(*scope).agg(F.count("*").alias("pairs"), F.count_if("suspect").alias("suspects"), F.count_if("suspect_sparse").alias("suspects_sparse"))

@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from inkweave.functions import text as T
-from inkweave.operators import consensus, furniture, layout, lexicon, metrics, pages, patching, sequences, stream, vectors
+from inkweave.operators import furniture, layout, lexicon, metrics, pages, patching, sequences, stream, vectors
+from inkweave.plans.registry import CJK_SQL as _CJK_SQL
+from inkweave.plans.registry import query
 from inkweave.sources.tables import corpus_rows, spread, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
 _VI = T.VI_LETTERS
-#: Tables with each key once, as SQL.
-_ONCE = """
-b AS (SELECT DISTINCT ON (vol, id) * FROM han_boxes), h AS (SELECT DISTINCT ON (vol, id) * FROM han_sentences),
-v AS (SELECT DISTINCT ON (vol, id) * FROM vi_sentences)"""
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql.replace("$ONCE", _ONCE).replace("$VI", _VI).replace("$MARKED", T.VI_MARKED)
-        return f
-
-    return add
 
 
 def _vocabulary(s: SparkSession, d: str) -> DataFrame:
@@ -64,62 +47,44 @@ def oov_rates(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[$VI]+') AS ts, CASE WHEN coalesce(n_chars, 0) > 0 THEN 0.1 ELSE 0.0 END AS ink FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[$VI]+') AS ts, 0.0 AS ink FROM documents),
 m AS (SELECT doc_id, ink, CAST(len(ts) AS INTEGER) AS tokens,
   round(CASE WHEN len(ts) > 0 THEN len(list_filter(ts, lambda x: regexp_matches(x, '[$MARKED]'))) / len(ts) ELSE 0.0 END, 3) AS diac_ratio FROM t)
 SELECT doc_id, tokens, diac_ratio,
   CASE WHEN tokens < 10 THEN CASE WHEN ink >= 0.02 THEN 'PLATE' ELSE 'BLANK' END WHEN diac_ratio >= 0.65 THEN 'VI' ELSE 'HAN' END AS label
 FROM m""")
 def page_classes(s: SparkSession, d: str) -> DataFrame:
-    docs = spread(table(s, d, "documents")).select("doc_id", "text", F.when(F.coalesce("n_chars", F.lit(0)) > 0, 0.1).otherwise(0.0).alias("ink"))
+    docs = spread(table(s, d, "documents")).select("doc_id", "text", F.lit(0.0).alias("ink"))
     return pages.classified_pages(docs, "text", "ink").select("doc_id", "tokens", "diac_ratio", "label")
 
 
-_LABELLED = """
-p AS (SELECT source, doc_id, CASE WHEN coalesce(text, '') = '' THEN 'BLANK' WHEN regexp_matches(text, '[\\x{4E00}-\\x{9FFF}]') THEN 'HAN' ELSE 'VI' END AS label FROM documents)"""
+# ---------------------------------------------------------------- cleaning and sentences
 
+# The same rules without looking around: what stands beside a match is matched and put back, and a rule whose
+# matches may share such a sign is applied twice.
+_BESIDE, _BEHIND = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 
-def _labelled(s: SparkSession, d: str) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    label = F.when(text == "", "BLANK").when(text.rlike(r"[\x{4E00}-\x{9FFF}]"), "HAN").otherwise("VI")
-    return table(s, d, "documents").select("source", "doc_id", label.alias("label"), text.alias("text"))
 
+def _as_sql(pattern: str, to: str) -> tuple[str, str]:
+    if pattern.startswith("(?<=\\s)"):
+        return r"(\s)[*•](\s|$)", r"\1 \2"
+    if pattern.endswith("(?=[A-Za-zÀ-ỹ«])"):
+        return r"^\s*[0-9]{1,3}\s+([A-Za-zÀ-ỹ«])", r"\1"
+    if pattern.startswith("(?:" + T._AT):
+        return pattern.replace(T._AT, r"\b").removesuffix(T._END) + _BEHIND, to + r"\1"
+    if pattern.startswith(T._AT):
+        return _BESIDE + pattern.removeprefix(T._AT).removesuffix(T._END) + _BEHIND, r"\1" + to + r"\2"
+    return pattern, to
 
-@query(f"""
-WITH {_LABELLED},
-i AS (SELECT *, sum(CASE WHEN label = 'VI' THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id) AS island FROM p),
-r AS (SELECT source, island, count(*) FILTER (label = 'HAN') AS n, min(doc_id) FILTER (label = 'HAN') AS first FROM i GROUP BY ALL),
-st AS (SELECT source, min(first) AS han_start FROM r WHERE n > 1 GROUP BY source),
-l AS (SELECT source, max(doc_id) AS last_vi FROM p JOIN st USING (source) WHERE label = 'VI' AND doc_id < han_start GROUP BY source)
-SELECT DISTINCT p.source, st.han_start, CASE WHEN st.han_start IS NULL THEN NULL ELSE coalesce(l.last_vi + 1, st.han_start) END AS boundary
-FROM p LEFT JOIN st USING (source) LEFT JOIN l USING (source)""")
-def han_starts(s: SparkSession, d: str) -> DataFrame:
-    return pages.han_starts(_labelled(s, d).drop("text"), ["source"], "doc_id", "label", confirm=1)
 
+def _rule_sql(text: str, pattern: str, to: str) -> str:
+    p, t = _as_sql(pattern, to)
+    once = f"regexp_replace({text}, '{p}', '{t}', 'g')"
+    return f"regexp_replace({once}, '{p}', '{t}', 'g')" if p != pattern else once
 
-@query(f"""
-WITH {_LABELLED}, q AS (SELECT source, doc_id, coalesce(length(text), 0) >= 800 AS dense, coalesce(length(text), 0) < 120 AS short,
-  regexp_matches(coalesce(text, ''), '\\.{{4,}}') AS anchor FROM documents),
-a AS (SELECT source, max(doc_id) FILTER (short) AS ls, min(doc_id) FILTER (dense) AS fd, max(doc_id) FILTER (dense) AS ld, max(doc_id) AS last,
-  max(doc_id) FILTER (anchor) AS la FROM q GROUP BY source),
-s AS (SELECT q.source, min(doc_id) AS af FROM q JOIN a USING (source) WHERE dense AND doc_id > ls GROUP BY q.source)
-SELECT a.source, coalesce(s.af, a.fd) AS body_start, CASE WHEN ld < last AND la > ld THEN ld END AS body_end FROM a LEFT JOIN s USING (source)""")
-def body_bounds(s: SparkSession, d: str) -> DataFrame:
-    text, n = F.coalesce("text", F.lit("")), F.coalesce(F.length("text"), F.lit(0))
-    docs = table(s, d, "documents").select("source", "doc_id", (n >= 800).alias("dense"), (n < 120).alias("short"), text.rlike(r"\.{4,}").alias("anchor"))
-    return pages.body_bounds(docs, ["source"], "doc_id", "dense", "short", "anchor")
 
-
-# ---------------------------------------------------------------- cleaning and sentences
-
-_CLEAN_SQL = "text"
-_FIRED_SQL = []
-for _name, _pattern, _to in T.CLEANING:
-    _next = f"regexp_replace({_CLEAN_SQL}, '{_pattern}', '{_to}', 'g')"
-    _FIRED_SQL.append((_name, _CLEAN_SQL, _next))
-    _CLEAN_SQL = _next
 _STEPS = ", ".join(
-    f"c{k} AS (SELECT vol, id, t{k} AS t{k}, regexp_replace(t{k}, '{p}', '{to}', 'g') AS t{k + 1}{''.join(f', f{j}' for j in range(k))}, t{k} <> regexp_replace(t{k}, '{p}', '{to}', 'g') AS f{k} FROM {'c' + str(k - 1) if k else 'c'})"
+    f"c{k} AS (SELECT vol, id, t{k}, {_rule_sql(f't{k}', p, to)} AS t{k + 1}{''.join(f', f{j}' for j in range(k))}, t{k} <> {_rule_sql(f't{k}', p, to)} AS f{k} FROM {'c' + str(k - 1) if k else 'c'})"
     for k, (_, p, to) in enumerate(T.CLEANING)
 )
 _N = len(T.CLEANING)
@@ -128,7 +93,7 @@ _CLEAN = f"c AS (SELECT vol, id, text AS t0 FROM v WHERE text IS NOT NULL), {_ST
 
 def _cleaned(s: SparkSession, d: str) -> DataFrame:
     text, fired = T.cleaned(F.col("text"))
-    return corpus_rows(s, d, "vi_sentences", "text").where("text is not null").select("vol", "id", "text", text.alias("clean"), fired.alias("fired"))
+    return corpus_rows(s, d, "vi_sentences", "text", where="text is not null").select("vol", "id", "text", text.alias("clean"), fired.alias("fired"))
 
 
 @query(f"""
@@ -146,7 +111,7 @@ def cleaning_hits(s: SparkSession, d: str) -> DataFrame:
 @query(rf"""
 WITH $ONCE SELECT vol, id FROM v WHERE text IS NOT NULL AND (NOT regexp_matches(text, '[A-Za-zÀ-ỹ]') OR regexp_matches(text, '{T.DANGLING_FOLIO}'))""")
 def junk_rows(s: SparkSession, d: str) -> DataFrame:
-    return corpus_rows(s, d, "vi_sentences", "text").where(T.is_junk(F.col("text"))).select("vol", "id")
+    return corpus_rows(s, d, "vi_sentences", where=T.is_junk(F.col("text")))
 
 
 @query(f"""
@@ -154,10 +119,7 @@ WITH $ONCE, {_VOCAB}, t AS (SELECT vol, id, unnest(regexp_extract_all(lower(text
 n AS (SELECT vol, id, count(*) AS n, count(*) FILTER (token IN (SELECT token FROM voc)) AS k FROM t GROUP BY ALL)
 SELECT vol, id, n, round(k / n, 3) AS known FROM n WHERE n >= 2 AND k / n >= 0.5""")
 def known_rows(s: SparkSession, d: str) -> DataFrame:
-    each = corpus_rows(s, d, "vi_sentences", "text").select("vol", "id", F.explode(T.vi_tokens(F.col("text"))).alias("token"))
-    met = each.join(_vocabulary(s, d).withColumn("k", F.lit(1)), "token", "left")
-    agg = met.groupBy("vol", "id").agg(F.count("*").alias("n"), F.count("k").alias("k"))
-    return agg.where("n >= 2 AND k / n >= 0.5").select("vol", "id", "n", F.round(F.col("k") / F.col("n"), 3).alias("known"))
+    return lexicon.known_rows(corpus_rows(s, d, "vi_sentences", "text"), ["vol", "id"], T.vi_tokens(F.col("text")), _vocabulary(s, d))
 
 
 _BLOCK = r"trim(regexp_replace(regexp_replace(regexp_replace(text, '-\s*\n\s*', '', 'g'), '\s*\n\s*', ' ', 'g'), '[ \t]{2,}', ' ', 'g'), ' ')"
@@ -168,7 +130,7 @@ WITH $ONCE, n AS (SELECT vol, id, {_BLOCK} AS t FROM v WHERE text IS NOT NULL),
 s AS (SELECT vol, id, list_filter(list_transform(string_split(regexp_replace(t, '{T.SENTENCE_END}', E'\\1\x01\\2', 'g'), E'\x01'), lambda x: trim(x, ' ')), lambda x: x <> '') AS ss FROM n)
 SELECT vol, id, CAST(unnest(range(1, len(ss) + 1)) AS INTEGER) AS sent_no, unnest(ss) AS sentence FROM s""")
 def plain_sentences(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "vi_sentences", "text").where("text is not null")
+    rows = corpus_rows(s, d, "vi_sentences", "text", where="text is not null")
     split = rows.select("vol", "id", F.posexplode(T.sentences(T.normal_block(F.col("text")))).alias("k", "sentence"))
     return split.select("vol", "id", (F.col("k") + 1).alias("sent_no"), "sentence")
 
@@ -189,7 +151,7 @@ o AS (SELECT vol, chapter, page, id, text, CAST(coalesce(sum(length(text) + 1) O
 
 
 def _offsets(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text").where("text is not null")
+    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text", where="text is not null")
     return stream.with_offsets(rows, ["vol", "chapter"], ["page", "sent_idx", "id"], F.length("text"))
 
 
@@ -221,7 +183,7 @@ hs AS (SELECT vol, chapter, id, CAST(coalesce(sum(n) OVER w, 0) AS BIGINT) AS s,
 
 def _spans(s: SparkSession, d: str, name: str, idx: str) -> DataFrame:
     n = F.length(F.regexp_replace(F.coalesce("sinonom", F.lit("")), r"[^\x{4E00}-\x{9FFF}]", ""))
-    rows = corpus_rows(s, d, name, "chapter", "page", idx, "sinonom", "is_dbl").where("NOT is_dbl")
+    rows = corpus_rows(s, d, name, "chapter", "page", idx, "sinonom", where="NOT is_dbl")
     return stream.with_offsets(rows, ["vol", "chapter"], ["page", idx, "id"], n, separator=0).select("vol", "chapter", "id", "start_at", "end_at")
 
 
@@ -240,12 +202,14 @@ WITH $ONCE,
 c AS (SELECT vol, chapter, page, sent_idx, id, unnest(string_split(sinonom, '')) AS ch, unnest(range(length(sinonom))) AS k FROM h WHERE NOT is_dbl AND sinonom <> ''),
 n AS (SELECT *, row_number() OVER w AS n, coalesce(sum(CASE WHEN contains('{T.FINAL_MARKS}', ch) THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
   FROM c WINDOW w AS (PARTITION BY vol, chapter ORDER BY page, sent_idx, id, k)),
-g AS (SELECT vol, chapter, seg, string_agg(ch, '' ORDER BY n) AS segment, list_distinct(list(id ORDER BY n)) AS ids, min(n) AS f FROM n WHERE NOT contains('{T.MARKS}', ch) GROUP BY ALL)
-SELECT vol, chapter, CAST(row_number() OVER (PARTITION BY vol, chapter ORDER BY f) AS INTEGER) AS seg_no, segment, CAST(len(ids) AS INTEGER) AS sources FROM g""")
+f AS (SELECT * FROM n WHERE NOT contains('{T.MARKS}', ch)),
+i AS (SELECT vol, chapter, seg, string_agg(id, ',' ORDER BY k) AS sources FROM (SELECT vol, chapter, seg, id, min(n) AS k FROM f GROUP BY ALL) GROUP BY ALL),
+g AS (SELECT vol, chapter, seg, string_agg(ch, '' ORDER BY n) AS segment, min(n) AS first FROM f GROUP BY ALL)
+SELECT vol, chapter, CAST(row_number() OVER (PARTITION BY vol, chapter ORDER BY first) AS INTEGER) AS seg_no, segment, sources FROM g JOIN i USING (vol, chapter, seg)""")
 def resegmented(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx", "sinonom", "is_dbl").where("NOT is_dbl")
+    rows = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx", "sinonom", where="NOT is_dbl")
     cut = stream.resegmented(rows, ["vol", "chapter"], ["page", "sent_idx", "id"], "sinonom", "id", T.FINAL_MARKS, T.MARKS)
-    return cut.select("vol", "chapter", "seg_no", "segment", F.size("source_ids").alias("sources"))
+    return cut.select("vol", "chapter", "seg_no", "segment", F.array_join("source_ids", ",").alias("sources"))
 
 
 @query(r"""
@@ -262,7 +226,7 @@ WITH $ONCE SELECT vol, id, page, CAST(row_number() OVER (PARTITION BY vol, chapt
   printf('HVH_001.%03d.%03d.%02d', chapter, page, CAST(row_number() OVER (PARTITION BY vol, chapter, page ORDER BY sent_idx, id) AS INTEGER)) AS new_id
 FROM v WHERE text IS NOT NULL AND regexp_matches(text, '[A-Za-zÀ-ỹ]')""")
 def renumbered(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text").where(F.col("text").rlike("[A-Za-zÀ-ỹ]"))
+    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text", where=F.col("text").rlike("[A-Za-zÀ-ỹ]"))
     return pages.numbered(rows, ["vol", "chapter", "page"], ["sent_idx", "id"]).select(
         "vol", "id", "page", "ordinal", T.make_id(F.col("chapter"), F.col("page"), F.col("ordinal")).alias("new_id")
     )
@@ -295,13 +259,13 @@ d AS (SELECT DISTINCT * FROM r WHERE key IS NOT NULL AND value IS NOT NULL AND v
 m AS (SELECT key, min(rank) AS rank FROM d GROUP BY key),
 t AS (SELECT d.key, d.rank, min(d.value) AS value FROM d JOIN m ON d.key = m.key AND d.rank = m.rank GROUP BY d.key, d.rank)
 SELECT t.key, t.value, CASE t.rank WHEN 0 THEN 'table' WHEN 1 THEN 'words' ELSE 'all' END AS source,
-  (SELECT count(DISTINCT value) FROM d WHERE d.key = t.key) AS n FROM t""")
+  (SELECT string_agg(value, '|' ORDER BY r, value) FROM (SELECT value, min(rank) AS r FROM d WHERE d.key = t.key GROUP BY value)) AS readings FROM t""")
 def merged_readings(s: SparkSession, d: str) -> DataFrame:
     hv, s2 = table(s, d, "hanviet"), table(s, d, "s2_readings")
     words = s2.select("key", F.explode("values").alias("v")).select(F.col("v").alias("k"), F.col("key").alias("r"))
     every = hv.select(F.col("sinonom_char").alias("k"), F.explode(F.split("all_readings", " ")).alias("r"))
     merged = lexicon.merged_by_priority([("table", hv.select(F.col("sinonom_char").alias("k"), F.col("am_han_viet").alias("r"))), ("words", words), ("all", every)], "k", "r")
-    return merged.select("key", "value", "source", F.size("all_values").cast("bigint").alias("n"))
+    return merged.select("key", "value", "source", F.array_join("all_values", "|").alias("readings"))
 
 
 @query("SELECT source, count(*) AS n FROM (SELECT CASE WHEN am_han_viet IS NOT NULL THEN 'primary' WHEN all_readings IS NOT NULL THEN 'other' ELSE 'none' END AS source FROM hanviet) GROUP BY source")
@@ -310,6 +274,13 @@ def reading_sources(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "hanviet").groupBy(kind.alias("source")).agg(F.count("*").alias("n"))
 
 
+def _similar(s: SparkSession, d: str) -> DataFrame:
+    """key, values: the characters that share a reading."""
+    hv = table(s, d, "hanviet").where("sinonom_char is not null")
+    groups = hv.where("am_han_viet is not null").groupBy("am_han_viet").agg(F.sort_array(F.collect_list("sinonom_char")).alias("values"))
+    return hv.join(groups, "am_han_viet").groupBy(F.col("sinonom_char").alias("key")).agg(F.min("values").alias("values"))
+
+
 @query("""
 WITH alike AS (SELECT am_han_viet AS r, list(sinonom_char ORDER BY sinonom_char) AS cs FROM hanviet WHERE am_han_viet IS NOT NULL AND sinonom_char IS NOT NULL GROUP BY 1),
 s1 AS (SELECT sinonom_char AS sn, min(cs) AS s1 FROM hanviet JOIN alike ON am_han_viet = r GROUP BY 1),
@@ -322,9 +293,7 @@ SELECT sn, qn, CASE WHEN list_contains(s2, sn) THEN 'BLACK' WHEN len(hit) > 0 TH
 def validated_pairs(s: SparkSession, d: str) -> DataFrame:
     hv = table(s, d, "hanviet").where("sinonom_char is not null")
     pairs = hv.select(F.col("sinonom_char").alias("sn"), F.explode(F.split(F.coalesce("all_readings", "am_han_viet"), " ")).alias("qn")).distinct()
-    groups = hv.where("am_han_viet is not null").groupBy("am_han_viet").agg(F.sort_array(F.collect_list("sinonom_char")).alias("values"))
-    similar = hv.join(groups, "am_han_viet").groupBy(F.col("sinonom_char").alias("key")).agg(F.min("values").alias("values"))
-    return lexicon.validated_pairs(pairs, similar, table(s, d, "s2_readings")).select("sn", "qn", "status", "corrected")
+    return lexicon.validated_pairs(pairs, _similar(s, d), table(s, d, "s2_readings")).select("sn", "qn", "status", "corrected")
 
 
 # ---------------------------------------------------------------- boxes
@@ -348,16 +317,6 @@ def sized_boxes(s: SparkSession, d: str) -> DataFrame:
     return layout.without_tiny(corpus_rows(s, d, "han_boxes", "page", "bbox"), ["vol", "page"]).select("vol", "id")
 
 
-@query()
-def page_columns(s: SparkSession, d: str) -> DataFrame:
-    return layout.columns_of_pages(corpus_rows(s, d, "han_boxes", "page", "bbox", "sinonom", "conf"), ["vol", "page"])
-
-
-@query()
-def reading_order(s: SparkSession, d: str) -> DataFrame:
-    return layout.reading_order(corpus_rows(s, d, "han_boxes", "page", "bbox"), ["vol", "page"])
-
-
 @query("""
 WITH $ONCE, x AS (SELECT vol, bbox[3] AS x1 FROM b WHERE len(bbox) = 4 AND bbox[3] IS NOT NULL),
 r AS (SELECT vol, x1, row_number() OVER (PARTITION BY vol ORDER BY x1) - 1 AS k, count(*) OVER (PARTITION BY vol) AS n FROM x)
@@ -393,14 +352,14 @@ def edge_boxes(s: SparkSession, d: str) -> DataFrame:
 WITH $ONCE SELECT 'han' AS side, 'box' AS level, vol, id, conf AS score FROM b WHERE conf < 0.5
 UNION ALL SELECT 'vi', 'high_oov', vol, id, oov_rate FROM v WHERE n_tokens >= 4 AND oov_rate >= 0.2""")
 def review_queue(s: SparkSession, d: str) -> DataFrame:
-    han = corpus_rows(s, d, "han_boxes", "conf").where("conf < 0.5").select(F.lit("han").alias("side"), F.lit("box").alias("level"), "vol", "id", F.col("conf").alias("score"))
-    vi = corpus_rows(s, d, "vi_sentences", "n_tokens", "oov_rate").where("n_tokens >= 4 AND oov_rate >= 0.2")
+    han = corpus_rows(s, d, "han_boxes", "conf", where="conf < 0.5").select(F.lit("han").alias("side"), F.lit("box").alias("level"), "vol", "id", F.col("conf").alias("score"))
+    vi = corpus_rows(s, d, "vi_sentences", "n_tokens", "oov_rate", where="n_tokens >= 4 AND oov_rate >= 0.2")
     return han.unionByName(vi.select(F.lit("vi").alias("side"), F.lit("high_oov").alias("level"), "vol", "id", F.col("oov_rate").alias("score")))
 
 
 @query("WITH $ONCE SELECT vol, id FROM b WHERE (conf IS NULL OR conf < 0.9) AND NOT coalesce(is_dbl, false)")
 def second_reading_gate(s: SparkSession, d: str) -> DataFrame:
-    return corpus_rows(s, d, "han_boxes", "conf", "is_dbl").where("(conf IS NULL OR conf < 0.9) AND NOT coalesce(is_dbl, false)").select("vol", "id")
+    return corpus_rows(s, d, "han_boxes", where="(conf IS NULL OR conf < 0.9) AND NOT coalesce(is_dbl, false)")
 
 
 def _histogram_sql(source: str, value: str, edges: list[float]) -> str:
@@ -461,22 +420,6 @@ def chapter_figures(s: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- two readings, chains, patches
 
 
-def _two_readings(s: SparkSession, d: str) -> DataFrame:
-    """A column's first reading and, as the second, its neighbour's by repeated key: the plain form of the same text."""
-    rows = corpus_rows(s, d, "han_boxes", "sinonom").where("sinonom is not null")
-    return rows.withColumn("second", F.translate(F.regexp_replace("sinonom", "[〓□■=#]", ""), "万节龙书养岁", "萬節龍書養歲"))
-
-
-@query()
-def column_consensus(s: SparkSession, d: str) -> DataFrame:
-    return consensus.consensus(_two_readings(s, d), "sinonom", "second").select("vol", "id", "reading", F.size("review").alias("n_review"))
-
-
-@query()
-def consensus_figures(s: SparkSession, d: str) -> DataFrame:
-    return consensus.consensus_figures(consensus.consensus(_two_readings(s, d), "sinonom", "second"), ["vol"], "sinonom")
-
-
 @query("""
 WITH $ONCE, p AS (SELECT vol, pair_idx, unnest(han_ids) AS id FROM alignment),
 sb AS (SELECT p.vol, p.pair_idx, unnest(h.box_ids) AS box_id FROM p JOIN h ON p.vol = h.vol AND p.id = h.id)
@@ -528,45 +471,36 @@ x AS (SELECT vol, pair_idx, unnest(han_ids) AS i, unnest(range(len(han_ids))) AS
 y AS (SELECT x.vol, pair_idx, list(coalesce(new_id, i) ORDER BY k) AS ids FROM x LEFT JOIN m ON x.vol = m.vol AND x.i = m.old_id GROUP BY ALL)
 SELECT a.vol, a.pair_idx, CASE WHEN a.han_ids IS NOT NULL THEN coalesce(y.ids, []) END AS han_ids FROM alignment a LEFT JOIN y USING (vol, pair_idx)""")
 def remapped_pairs(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx").where("sent_idx > 3")
+    rows = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx", where="sent_idx > 3")
     mapping = rows.select("vol", F.col("id").alias("old_id"), T.make_id(F.col("chapter"), F.col("page"), F.col("sent_idx") + 1).alias("new_id"))
-    return patching.remapped(table(s, d, "alignment").select("vol", "pair_idx", "han_ids"), ["vol"], "han_ids", mapping)
+    return patching.remapped(table(s, d, "alignment").select("vol", "pair_idx", "han_ids"), ["vol", "pair_idx"], ["vol"], "han_ids", mapping)
 
 
 # ---------------------------------------------------------------- vectors
 
 
 @query("""
-WITH x AS (SELECT vec_id, label, embedding, lead(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS nxt FROM embeddings),
-g AS (SELECT label, vec_id, list_transform(list_zip(embedding, nxt), lambda p: CAST(p[1] AS DOUBLE) + CAST(p[2] AS DOUBLE)) AS s FROM x WHERE nxt IS NOT NULL),
-n AS (SELECT label, vec_id, s, lead(s) OVER (PARTITION BY label ORDER BY vec_id) AS t FROM g)
+WITH x AS (SELECT vec_id, label, vec_id // 512 AS run, embedding, lead(embedding) OVER (PARTITION BY label, vec_id // 512 ORDER BY vec_id) AS nxt FROM embeddings),
+g AS (SELECT label, run, vec_id, list_transform(list_zip(embedding, nxt), lambda p: CAST(p[1] AS DOUBLE) + CAST(p[2] AS DOUBLE)) AS s FROM x WHERE nxt IS NOT NULL),
+n AS (SELECT label, vec_id, s, lead(s) OVER (PARTITION BY label, run ORDER BY vec_id) AS t FROM g)
 SELECT label, vec_id, round(list_cosine_similarity(s, t), 6) AS cosine FROM n WHERE t IS NOT NULL""")
 def neighbour_similarity(s: SparkSession, d: str) -> DataFrame:
-    made = vectors.neighbour_units(table(s, d, "embeddings"), ["label"], ["vec_id"], "embedding", 2)
-    nxt = F.lead("group_unit").over(W.partitionBy("label").orderBy("vec_id"))
+    rows = table(s, d, "embeddings").withColumn("run", F.floor(F.col("vec_id") / 512))  # a run, as a chapter, is of bounded size
+    made = vectors.neighbour_units(rows, ["label", "run"], ["vec_id"], "embedding", 2)
+    nxt = F.lead("group_unit").over(W.partitionBy("label", "run").orderBy("vec_id"))
     pairs = made.withColumn("nxt", nxt).where("nxt is not null and group_unit is not null")
     return pairs.select("label", "vec_id", F.round(vectors.dot(F.col("group_unit"), F.col("nxt")), 6).alias("cosine"))
 
 
-@query()
-def vector_alignment(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "embeddings").withColumn("side", F.when(F.col("vec_id") % 2 == 0, "l").otherwise("r"))
-    return vectors.aligned_vectors(rows, ["label"], "side", "vec_id", "embedding")
-
-
-@query("""
-WITH e AS (SELECT user_id, event_type, sum(value) AS w FROM events GROUP BY ALL)
-SELECT user_id, count(*) AS tokens, round(sum(w), 4) AS total FROM e GROUP BY user_id""")
+@query("SELECT user_id, event_type AS token, round(sum(value), 4) AS weight FROM events GROUP BY ALL")
 def merged_weights(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "events").select("user_id", F.create_map("event_type", "value").alias("weights"))
     merged = vectors.merged_weights(rows, ["user_id"], "weights")
-    total = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda a, x: a + x)
-    return merged.select("user_id", F.size("weights").cast("bigint").alias("tokens"), F.round(total, 4).alias("total"))
+    return merged.select("user_id", F.explode("weights").alias("token", "weight")).withColumn("weight", F.round("weight", 4))
 
 
 # ---------------------------------------------------------------- sequences within rows
 
-_CJK_SQL = "[\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}\\x{F900}-\\x{FAFF}\\x{20000}-\\x{2A6DF}\\x{2A700}-\\x{2EBEF}\\x{2F800}-\\x{2FA1F}]"
 
 
 @query(f"""
@@ -574,25 +508,14 @@ WITH $ONCE, s2 AS (SELECT lower(trim(key)) AS q, flatten(list(values)) AS s2 FRO
 r AS (SELECT vol, id, regexp_extract_all(sinonom, '{_CJK_SQL}') AS c, list_filter(regexp_split_to_array(lower(trim(coalesce(am_han_viet, ''))), '\\s+'), lambda x: x <> '') AS q FROM h),
 p AS (SELECT vol, id, unnest(range(1, len(c) + 1)) AS k, c, q FROM r WHERE len(c) > 0),
 x AS (SELECT vol, id, c[k] AS sn, CASE WHEN k + len(q) - len(c) >= 1 THEN q[k + len(q) - len(c)] END AS qn FROM p),
-m AS (SELECT vol, id, list_contains(coalesce(s2, []), sn) AS ok FROM x LEFT JOIN s2 ON lower(trim(qn)) = q)
-SELECT vol, id, count(*) AS n, count(*) FILTER (ok) AS black, 0 AS green, count(*) FILTER (NOT ok) AS red, round(count(*) FILTER (ok) / count(*), 4) AS accuracy FROM m GROUP BY vol, id""")
+alike AS (SELECT am_han_viet AS r, list(sinonom_char ORDER BY sinonom_char) AS cs FROM hanviet WHERE am_han_viet IS NOT NULL AND sinonom_char IS NOT NULL GROUP BY 1),
+s1 AS (SELECT sinonom_char AS sn, min(cs) AS s1 FROM hanviet JOIN alike ON am_han_viet = r GROUP BY 1),
+m AS (SELECT vol, id, list_contains(coalesce(s2, []), sn) AS ok, len(list_intersect(coalesce(s1, [sn]), coalesce(s2, []))) > 0 AS near FROM x LEFT JOIN s2 ON lower(trim(qn)) = q LEFT JOIN s1 USING (sn))
+SELECT vol, id, count(*) AS n, count(*) FILTER (ok) AS black, count(*) FILTER (NOT ok AND near) AS green, count(*) FILTER (NOT ok AND NOT near) AS red,
+  round(count(*) FILTER (ok OR near) / count(*), 4) AS accuracy FROM m GROUP BY vol, id""")
 def sequence_accuracy(s: SparkSession, d: str) -> DataFrame:
     rows = corpus_rows(s, d, "han_sentences", "sinonom", "am_han_viet")
-    none = s.createDataFrame([], "key string, values array<string>")
-    made = sequences.sequence_accuracy(rows, ["vol", "id"], "sinonom", "am_han_viet", none, table(s, d, "s2_readings"))
-    return made.withColumn("green", F.col("green").cast("int"))
-
-
-@query()
-def token_similarity(s: SparkSession, d: str) -> DataFrame:
-    rows = corpus_rows(s, d, "vi_sentences", "text", "raw_text")
-    return rows.select("vol", "id", F.round(sequences.token_similarity(T.vi_tokens(F.col("text")), T.vi_tokens(F.col("raw_text"))), 4).alias("similarity"))
-
-
-@query()
-def text_provenance(s: SparkSession, d: str) -> DataFrame:
-    rows = sequences.with_provenance(corpus_rows(s, d, "vi_sentences", "text").where("text is not null"), "text")
-    return rows.select("vol", "id", "clean", F.size("places").alias("n_places"))
+    return sequences.sequence_accuracy(rows, ["vol", "id"], "sinonom", "am_han_viet", _similar(s, d), table(s, d, "s2_readings"))
 
 
 # Some simplified forms and the traditional ones.
@@ -605,18 +528,7 @@ WITH $ONCE SELECT vol, id, translate(sinonom, '{_FROM}', '{_TO}') AS traditional
 FROM b WHERE sinonom IS NOT NULL""")
 def traditional_forms(s: SparkSession, d: str) -> DataFrame:
     text, changed = sequences.mapped_characters(F.col("sinonom"), _FORMS)
-    return corpus_rows(s, d, "han_boxes", "sinonom").where("sinonom is not null").select("vol", "id", text.alias("traditional"), changed.alias("changed"))
-
-
-@query(f"""
-WITH $ONCE, m AS (SELECT vol, page, sum(length(sinonom) - length(regexp_replace(sinonom, '[{T.MARKS}]', '', 'g'))) AS marks, sum(len(regexp_extract_all(sinonom, '{_CJK_SQL}'))) AS chars FROM h GROUP BY ALL)
-SELECT vol, page, CAST(marks AS BIGINT) AS marks, CAST(chars AS BIGINT) AS chars, CASE WHEN chars > 0 AND marks / chars >= 0.01 THEN 'marks' ELSE 'boxes' END AS cut_by FROM m""")
-def page_segmentation(s: SparkSession, d: str) -> DataFrame:
-    """Whether the sentences of a page are cut at its marks or are its boxes."""
-    rows = corpus_rows(s, d, "han_sentences", "page", "sinonom")
-    marks = F.length("sinonom") - F.length(T.without_marks(F.col("sinonom")))
-    agg = rows.groupBy("vol", "page").agg(F.sum(marks).alias("marks"), F.sum(F.size(T.cjk_chars(F.col("sinonom")))).alias("chars"))
-    return agg.withColumn("cut_by", F.when((F.col("chars") > 0) & (F.col("marks") / F.col("chars") >= 0.01), "marks").otherwise("boxes"))
+    return corpus_rows(s, d, "han_boxes", "sinonom", where="sinonom is not null").select("vol", "id", text.alias("traditional"), changed.alias("changed"))
 
 
 @query(r"""
@@ -638,7 +550,7 @@ def line_shares(s: SparkSession, d: str) -> DataFrame:
 @query(f"""
 WITH $ONCE SELECT vol, id FROM b WHERE sinonom IS NOT NULL AND regexp_matches(sinonom, '{_CJK_SQL}')""")
 def han_boxes_only(s: SparkSession, d: str) -> DataFrame:
-    return corpus_rows(s, d, "han_boxes", "sinonom").where(F.size(T.cjk_chars(F.col("sinonom"))) > 0).select("vol", "id")
+    return corpus_rows(s, d, "han_boxes", where=F.col("sinonom").rlike(T.CJK))
 
 
 @query(f"""
@@ -652,7 +564,7 @@ SELECT k.vol, k.id, CAST(row_number() OVER (PARTITION BY k.vol, k.chapter, k.pag
   coalesce(n.n, 0) AS n_tokens, round(CASE WHEN n.n > 0 THEN n.o / n.n ELSE 0.0 END, 3) AS oov_rate FROM k LEFT JOIN n ON k.vol = n.vol AND k.id = n.id""")
 def cleaned_sentences(s: SparkSession, d: str) -> DataFrame:
     """The Vietnamese side end to end: clean, drop junk, renumber, rate against the vocabulary."""
-    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text").where("text is not null")
+    rows = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text", where="text is not null")
     kept = rows.withColumn("clean", T.cleaned(F.col("text"))[0]).where(~T.is_junk(F.col("clean")))
     rates = lexicon.oov_rates(kept, ["vol", "id"], T.vi_tokens(F.col("clean")), _vocabulary(s, d))
     placed = pages.numbered(kept, ["vol", "chapter", "page"], ["sent_idx", "id"]).withColumn("changed", F.col("clean") != F.col("text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +27,19 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where that is unset (tests, a laptop)
-    does the session get a folder of its own.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a local session (one machine, so any folder is
+    shared) gets a folder of its own; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     have = sc._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get()
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="inkweave-checkpoint-"))
+    if not named:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="inkweave-checkpoint-")
+    sc.setCheckpointDir(named)
     return sc._jsc.sc().getCheckpointDir().get()
 
 

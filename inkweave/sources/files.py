@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -75,12 +76,45 @@ def unihan_variants(spark: SparkSession, path: str, fields: list[str]) -> DataFr
 
 
 def kanji_readings(spark: SparkSession, path: str) -> DataFrame:
-    """char, readings of a JSON array of [char, onyomi, kunyomi, ...]: the second field, else the third; the first entry of a character counts."""
+    """char, readings of a JSON array of [char, onyomi, kunyomi, ...]: the second field, else the third; tones placed
+    alike, in order and distinct. The first entry of a character that has any counts."""
     whole = spark.read.text(path, wholetext=True)
     rows = whole.select(F.posexplode(F.from_json("value", "array<array<string>>")).alias("k", "r"))
-    said = F.when(F.trim(F.coalesce(F.try_element_at("r", F.lit(2)), F.lit(""))) != "", F.try_element_at("r", F.lit(2))).otherwise(F.try_element_at("r", F.lit(3)))
-    listed = F.array_distinct(F.filter(F.split(F.lower(F.trim(said)), r"[\s,]+"), lambda x: x != ""))
-    return rows.select(F.col("r")[0].alias("char"), listed.alias("readings"), "k").groupBy("char").agg(F.min_by("readings", "k").alias("readings"))
+    field = lambda k: F.nullif(F.try_element_at("r", F.lit(k)), F.lit(""))
+    said = F.split(F.trim(F.coalesce(field(2), field(3), F.lit(""))), r"\s+")
+    listed = F.array_distinct(F.filter(F.transform(said, lambda x: normal_tone(x)), lambda x: x != ""))
+    named = rows.select(F.col("r")[0].alias("char"), listed.alias("readings"), "k").where(F.size("readings") > 0)
+    return named.groupBy("char").agg(F.min_by("readings", "k").alias("readings"))
+
+
+def listed_readings(spark: SparkSession, path: str) -> DataFrame:
+    """key, values of a CSV with a header whose second field lists readings (['a', 'b']): each reading in lower case
+    with its characters, sorted. Rows without a character or readings are skipped."""
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    char, said = (F.trim(F.col(f"`{c}`")) for c in rows.columns[:2])
+    each = rows.where((char != "") & (said != "")).select(char.alias("v"), F.explode(F.split(F.regexp_replace(said, r"^\[|\]$", ""), ",")).alias("r"))
+    word = F.lower(F.trim(F.regexp_replace("r", "^[\\s'\"]+|[\\s'\"]+$", "")))
+    return each.select("v", word.alias("key")).where("key <> ''").groupBy("key").agg(F.sort_array(F.collect_set("v")).alias("values"))
+
+
+def reading_table(spark: SparkSession, path: str) -> DataFrame:
+    """The reading table from CSV with a header. A missing file gives an empty table."""
+    if _missing(spark, path):
+        return spark.createDataFrame([], SCHEMAS["hanviet"])
+    return spark.read.option("header", True).schema(SCHEMAS["hanviet"]).csv(path)
+
+
+def phrase_rules(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(wrong, correct) of a rule file in its order; comments, the header and incomplete rows are skipped.
+
+    Such files are written by hand, so they are gathered. A missing file has no rules.
+    """
+    if _missing(spark, path):
+        return []
+    kept = _lines(spark, path).where("trim(value) <> '' AND NOT startswith(ltrim(value), '#')")
+    parsed = kept.select(F.from_csv("value", "wrong string, correct string").alias("r"), "line").select(F.trim("r.wrong").alias("wrong"), F.trim("r.correct").alias("correct"), "line")
+    rows = parsed.where("wrong <> '' AND lower(wrong) <> 'wrong' AND correct IS NOT NULL").orderBy("line").collect()
+    return [(r.wrong, r.correct) for r in rows]
 
 
 def rule_table(spark: SparkSession, path: str, columns: list[str], last_wins: bool = True) -> DataFrame:
@@ -113,7 +147,7 @@ def ink_share(content: Column) -> Column:
 
     @F.pandas_udf("double")
     def share(s: pd.Series) -> pd.Series:
-        return s.map(lambda b: sum(x < 128 for x in b) / len(b) if b else 0.0)
+        return s.map(lambda b: float((np.frombuffer(b, np.uint8) < 128).mean()) if b else 0.0)
 
     return share(content)
 
@@ -139,3 +173,6 @@ def write_readings(df: DataFrame, path: str) -> None:
     df.select("sinonom_char", "am_han_viet", "all_readings").orderBy("sinonom_char").write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_document(df: DataFrame, path: str) -> None:
+    """One JSON document per row, as a line of text; meant for a report of one row."""
+    df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)

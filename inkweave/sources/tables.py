@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -10,15 +10,6 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def once(df: DataFrame, *keys: str) -> DataFrame:
-    """Every key once. A repeated delivery has the same content, so any of its rows will do.
-
-    Rows whose key holds a null count as one key, as in GROUP BY. An empty table stays empty.
-    Select the needed columns first: what is kept travels through the shuffle.
-    """
-    return df.dropDuplicates(list(keys))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores: a scan of fewer partitions than there are cores is small, so it is dealt out anew.
 
@@ -28,13 +19,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def corpus_rows(spark: SparkSession, directory: str, name: str, *columns: str) -> DataFrame:
+def corpus_rows(spark: SparkSession, directory: str, name: str, *columns: str, where: Column | str | None = None) -> DataFrame:
     """Each (vol, id) of a row table once, with the given columns only.
 
-    Rows are dealt out by their key over the session's shuffle partitions, which the removal of repeated
-    rows then needs no shuffle for; being asked for by number, they are not joined into fewer afterwards,
-    which would leave costly text operators on few cores.
+    A repeated delivery has the same content, so ``where`` may look at any column but loaded_at and filters the
+    scan; what passes is dealt out by its key, and rows equal in all selected columns become one without a
+    sort. Rows whose key holds a null are one per content. An empty table stays empty.
     """
-    want = dict.fromkeys(("vol", "id", *columns))
-    dealt = table(spark, directory, name).select(*want).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vol", "id")
-    return once(dealt, "vol", "id")
+    df = table(spark, directory, name)
+    if where is not None:
+        df = df.where(where)
+    return df.select(*dict.fromkeys(("vol", "id", *columns))).repartition("vol", "id").distinct()

@@ -9,9 +9,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from inkweave.session import local_session
 
     session = local_session(4, "4g")
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     return session

@@ -41,8 +41,18 @@ def test_unihan_and_kanji(spark, tmp_path):
     assert (r.char, r.readings) == ("百", ["bách", "hòa"])
     assert [tuple(x) for x in files.unihan_variants(spark, str(u), ["kZVariant"]).collect()] == [("百", ["佰"])]
     k = tmp_path / "k.json"
-    k.write_text(json.dumps([["百", "", "bách, bá"], ["百", "x"], ["千", "thiên"]]))
-    assert {x.char: x.readings for x in files.kanji_readings(spark, str(k)).collect()} == {"百": ["bách", "bá"], "千": ["thiên"]}
+    k.write_text(json.dumps([["百", "", "bách bá bách"], ["百", "x"], ["千", "thiên"], ["天", ""], ["天", "THIÊN hoà"], ["地", None, None]]))
+    assert {x.char: x.readings for x in files.kanji_readings(spark, str(k)).collect()} == {"百": ["bách", "bá"], "千": ["thiên"], "天": ["thiên", "hòa"]}
+
+
+def test_reading_tables_and_phrase_rules(spark, tmp_path):
+    h = tmp_path / "h.csv"
+    h.write_text("char,hanviet,pinyin\n百,\"['Bách', 'bá']\",x\n佰,['bách'],y\n千,,z\n")
+    assert {r.key: r["values"] for r in files.listed_readings(spark, str(h)).collect()} == {"bách": ["佰", "百"], "bá": ["百"]}
+    assert files.reading_table(spark, str(tmp_path / "none.csv")).count() == 0
+    p = tmp_path / "p.csv"
+    p.write_text("# rules\nwrong,correct,note\nb b,B,x\n a ,A\nalone\n\n")
+    assert files.phrase_rules(spark, str(p)) == [("b b", "B"), ("a", "A")] and files.phrase_rules(spark, str(tmp_path / "none")) == []
 
 
 def test_images(spark, tmp_path):

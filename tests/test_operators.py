@@ -8,17 +8,21 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from inkweave.operators import consensus, furniture, layout, lexicon, metrics, pages, patching, stream, vectors
-from inkweave.sources.tables import once
+from inkweave.sources.tables import corpus_rows
 
 
 def _rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-def test_once_keeps_each_key(spark):
-    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), (None, 1, "z")], "vol string, id int, t string")
-    assert _rows(once(df, "vol", "id")) == sorted([("a", 1, "x"), ("a", 2, "y"), (None, 1, "z")], key=str)
-    assert once(df.limit(0), "vol", "id").count() == 0
+def test_rows_once_and_filtered_at_the_scan(spark, tmp_path):
+    rows = [("a", 1, "x", 1), ("a", 1, "x", 2), ("a", 2, "y", 1), (None, 1, "z", 1), (None, 1, "z", 3), ("b", 1, None, 1)]
+    spark.createDataFrame(rows, "vol string, id int, t string, loaded_at int").write.parquet(str(tmp_path / "han_boxes.parquet"))
+    got = corpus_rows(spark, str(tmp_path), "han_boxes", "t")
+    assert _rows(got) == sorted([("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), ("b", 1, None)], key=str)
+    some = corpus_rows(spark, str(tmp_path), "han_boxes", where="t = 'x'")
+    assert _rows(some) == [("a", 1)]
+    assert "PushedFilters: [IsNotNull(t), EqualTo(t,x)]" in some._jdf.queryExecution().toString()
 
 
 def test_han_starts_against_scan(spark):
@@ -38,7 +42,7 @@ def test_han_starts_against_scan(spark):
                     start = p
         last = max([p for p, x in enumerate(labels) if x == "VI" and start is not None and p < start], default=None)
         if labels:
-            want[v] = (start, None if start is None else start if last is None else last + 1)
+            want[v] = (start, len(labels) if start is None else start if last is None else last + 1)
     got = {x.v: (x.han_start, x.boundary) for x in pages.han_starts(spark.createDataFrame(rows, "v int, p int, label string"), ["v"], "p", "label").collect()}
     assert got == want
 
@@ -89,10 +93,22 @@ def test_lexicons(spark):
 def test_layout(spark):
     boxes = [("p", "a", [100, 0, 140, 90], "甲", 0.9), ("p", "b", [102, 100, 142, 190], "乙", 0.5), ("p", "c", [40, 0, 80, 90], "丙", None), ("p", "d", None, "丁", 0.1)]
     df = spark.createDataFrame(boxes, "page string, id string, bbox array<int>, sinonom string, conf double")
-    got = [tuple(r)[1:] for r in layout.columns_of_pages(df, ["page"]).orderBy("column_no").collect()]
+    width = F.lit(1000)
+    got = [tuple(r)[1:] for r in layout.columns_of_pages(df, ["page"], F.max(width)).orderBy("column_no").collect()]
     assert got == [(1, 2, 100, 0, 142, 190, "甲乙", 0.5, False), (2, 1, 40, 0, 80, 90, "丙", None, False)]
     assert [(r.id, r.row_no) for r in layout.reading_order(df, ["page"]).orderBy("place").collect()] == [("c", 1), ("a", 1), ("b", 2)]
     assert layout.reading_order(df.limit(0), ["page"]).count() == 0
+    assert layout.columns_of_pages(df.limit(0), ["page"], F.max(width)).count() == 0
+    assert [r.id for r in layout.tall_enough(df).orderBy("id").collect()] == ["a", "b", "c"]
+
+
+def test_double_columns_heads_and_tiny_boxes(spark):
+    half = [("p", k, [x, y, x + 30, y + 90], t, 0.9) for k, x, y, t in (("a", 520, 0, "a"), ("b", 520, 100, "b"), ("c", 506, 0, "c"), ("d", 506, 100, "d"))]
+    plain = [("p", f"k{k}", [300 - 60 * k, 0, 340 - 60 * k, 300], "文", 0.8) for k in range(4)]
+    head = [("p", "h", [950, 0, 970, 300], "標", 0.9), ("p", "t", [500, 300, 504, 304], "點", 0.9), ("p", "u", [420, 0, 460, 300], "政要卷之一", 0.9)]
+    df = spark.createDataFrame(half + plain + head, "page string, id string, bbox array<int>, sinonom string, conf double")
+    got = layout.columns_of_pages(df, ["page"], F.max(F.lit(1000)), ("政要卷之",)).orderBy("column_no").collect()
+    assert [(r.text, r.is_double) for r in got] == [("abcd", True), *[("文", False)] * 4]
 
 
 def test_furniture(spark):
@@ -102,11 +118,19 @@ def test_furniture(spark):
     assert {r.id for r in furniture.edge_boxes(df, "vol", "政要卷之第", "政要卷之第百").where("dropped").collect()} == {"t"}
 
 
-def test_consensus():
-    assert consensus.voted("甲乙丙", "甲丁丙", "arbiter", {}) == ("甲丁丙", [{"pos": 1, "base": "乙", "other": "丁"}])
-    assert consensus.voted("数則", "數則", "arbiter", {"數": "数"}) == ("数則", [])
-    assert consensus.voted("甲乙", "", "majority", {})[1] == [{"pos": 0, "base": "甲", "other": None}, {"pos": 1, "base": "乙", "other": None}]
-    assert consensus.voted(None, None, "arbiter", {}) == ("", [])
+def test_consensus(spark):
+    cases = [("甲乙丙", "甲丁丙"), ("数則", "數則"), ("甲乙", ""), (None, None), ("萬節龍養天", "节龙养天"), ("甲乙丙", "甲丙"), ("甲", None)]
+    df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, a string, b string")
+    folds = "數数 節节 龍龙 養养"
+    review = lambda r: [(x.pos, x.base, x.other) for x in r.review]
+    got = consensus.consensus(df, "a", "b", folds=folds).orderBy("k").collect()
+    assert [r.reading for r in got] == ["甲丁丙", "数則", "甲乙", "", "萬節龍養天", "甲乙丙", "甲"]
+    assert review(got[0]) == [(1, "乙", "丁")] and not any(r.review for r in got[1:])
+    strict = consensus.consensus(df, "a", "b", "majority", folds).orderBy("k").collect()
+    assert [r.reading for r in strict] == ["甲乙丙", "数則", "甲乙", "", "萬節龍養天", "甲乙丙", "甲"]
+    assert review(strict[2]) == [(0, "甲", None), (1, "乙", None)] and review(strict[5]) == [(1, "乙", None)] and review(strict[1]) == []
+    figures = consensus.consensus_figures(consensus.consensus(df.withColumn("v", F.lit("v")), "a", "b", folds=folds), ["v"], "a").first()
+    assert (figures.cols, figures.chars, figures.review_cols, figures.review_chars, figures.corrected_cols) == (7, 16, 1, 1, 1)
 
 
 def _align_brute(h, v):
@@ -143,10 +167,10 @@ def test_patching(spark):
     assert _rows(patching.overlaid(rows, edits, ["vol", "id"], "t")) == sorted([("v", "a", 1, "X", True), ("v", "c", 3, None, False)], key=str)
     new = patching.with_inserted(rows, spark.createDataFrame([("v", "n", 1, "new")], "vol string, id string, k int, t string"), ["vol"], "k")
     assert [r.id for r in new.orderBy("k").collect()] == ["a", "n", "b", "c"]
-    refs = spark.createDataFrame([("v", ["a", "z"]), ("v", None), ("v", [])], "vol string, ids array<string>")
-    mapped = patching.remapped(refs, ["vol"], "ids", spark.createDataFrame([("v", "a", "A")], "vol string, old_id string, new_id string"))
+    refs = spark.createDataFrame([(1, "v", ["a", "z"]), (2, "v", None), (3, "v", [])], "k int, vol string, ids array<string>")
+    mapped = patching.remapped(refs, ["k"], ["vol"], "ids", spark.createDataFrame([("v", "a", "A")], "vol string, old_id string, new_id string"))
     assert sorted((r.ids for r in mapped.collect()), key=str) == sorted([["A", "z"], None, []], key=str)
-    fixed = patching.phrases_corrected(spark.createDataFrame([("Triệu-trị và TRIỆU TRỊ",), (None,)], "t string"), "t", [("triệu trị", "thiệu trị")])
+    fixed = patching.phrases_corrected(spark.createDataFrame([("Triệu-trị và TRIỆU TRỊ",), (None,)], "t string"), "t", [("triệu trị", "Thiệu Trị")])
     assert [r.t for r in fixed.collect()] == ["Thiệu Trị và THIỆU TRỊ", None]
 
 
@@ -158,21 +182,85 @@ def test_weights_and_windows(spark):
 
 
 def test_geometry(spark):
-    from inkweave.operators.lexicon import fallback_reading
-
     df = spark.createDataFrame([([(1, 5), (9, 2), (4, 8)], [10, 20, 30, 50])], "p array<struct<x:int,y:int>>, b array<int>")
     points = F.transform("p", lambda q: F.array(q["x"], q["y"]))
     r = df.select(layout.polygon_box(points).alias("box"), layout.unrotated_box(F.col("b"), F.lit(100)).alias("back")).first()
     assert r.box == [1, 2, 9, 8] and r.back == [49, 10, 79, 30]
-    v = spark.createDataFrame([("甲", "乙"), ("甲", "丙"), ("丁", "戊")], "char string, variant string")
-    assert [tuple(x) for x in fallback_reading(v, spark.createDataFrame([("丙", "bính"), ("乙", "ất")], "char string, reading string")).collect()] == [("甲", "bính")]
+    crop = df.select(layout.crop_window(F.col("b"), F.lit(25), F.lit(60), pad=5, scale=2).alias("c")).first().c
+    assert crop == [10, 30, 50, 110]
+
+
+def test_built_lexicon(spark):
+    many = lambda rows: spark.createDataFrame(rows, "char string, readings array<string>")
+    variants = spark.createDataFrame([("兴", ["興", "與"]), ("学", ["學"]), ("無", ["无"])], "char string, variants array<string>")
+    readings, kanji = many([("百", ["bách", "bá"]), ("與", ["dữ"])]), many([("百", ["bách", "mạch"]), ("興", ["hưng"]), ("千", ["thiên"])])
+    supplement = spark.createDataFrame([("萬", " Hoà"), ("千", "x")], "char string, reading string")
+    got = {r.char: (r.reading, r.all_readings, r.source) for r in lexicon.built_readings(readings, kanji, supplement, many([("百", ["trăm"]), ("十", ["mười"])]), variants).collect()}
+    assert got == {
+        "百": ("bách", ["bách", "bá", "mạch", "trăm"], "readings"), "與": ("dữ", ["dữ"], "readings"), "興": ("hưng", ["hưng"], "kanji"), "千": ("thiên", ["thiên"], "kanji"),
+        "萬": ("hòa", ["hòa"], "supplement"), "十": ("mười", ["mười"], "taught"), "兴": ("dữ", ["dữ"], "variant"),
+    }
+    alike = lexicon.built_similar(spark.createDataFrame([("百", ["自", "白", "自"])], "key string, values array<string>"), variants)
+    assert {r.key: r["values"] for r in alike.collect()} == {"百": ["自", "白", "百"], "兴": ["與", "興", "兴"], "学": ["學", "学"], "無": ["无", "無"]}
+
+
+def test_rows_of_an_empty_vocabulary_are_kept(spark):
+    rows = spark.createDataFrame([(1, "một hai ba"), (2, "x"), (3, None), (4, "một zz")], "k int, t string")
+    tokens = F.split(F.col("t"), " ")
+    some = spark.createDataFrame([("một",)], "token string")
+    assert {r.k for r in lexicon.known_rows(rows, ["k"], tokens, some).collect()} == {4}
+    assert {r.k for r in lexicon.known_rows(rows, ["k"], tokens, some.limit(0)).collect()} == {1, 2, 3, 4}
+
+
+def test_running_count_over_blocks(spark):
+    r = random.Random(2)
+    rows = [(k % 2, k, r.random() < 0.3) for k in range(300)]
+    got = pages.running_count(spark.createDataFrame(rows, "g int, p int, f boolean"), ["g"], "p", F.col("f"), "n", block=16).collect()
+    assert all(x.n == sum(f for g, p, f in rows if g == x.g and p <= x.p) for x in got) and len(got) == 300
+
+
+def test_split_volumes(spark):
+    vi = "[1a] " + "một trăm hai mươi chữ viết đầy đủ dấu ở đây " * 14
+    prose = "\n".join(["một dòng chữ dài có đủ dấu tiếng việt"] * 11)
+    han = "abc def ghi jkl mno pqr stu vwx yza bcd efg hij"
+    texts = ["bản dịch của người này ở đây viết mười chữ có đủ dấu", vi, prose, "chữ viết đầy đủ dấu ở đây thật là nhiều lắm\nBẢNG TRA", "", han, han, "", han, han]
+    df = spark.createDataFrame([("v", k, t, 0.5 if k == 7 else 0.0) for k, t in enumerate(texts)], "vol string, page int, text string, ink double")
+    got = [(r.page, r.label, r.half, r.part) for r in pages.split_volumes(df, ["vol"], "page", "text", "ink").orderBy("page").collect()]
+    assert got == [
+        (0, "VI", "vi", "front"), (1, "VI", "vi", "body"), (2, "VI", "vi", "body"), (3, "VI", "vi", "back"), (4, "BLANK", None, None),
+        (5, "HAN", "han", "body"), (6, "HAN", "han", "body"), (7, "PLATE", "han", "body"), (8, "HAN", "han", "body"), (9, "HAN", "han", "body"),
+    ]
+    m = pages.volume_manifest(pages.split_volumes(df, ["vol"], "page", "text", "ink"), ["vol"], "page").first()
+    assert (m.num_pages, m.vi_pages, m.front, m.back, m.han_pages, m.vi_first, m.vi_last, m.han_first) == (10, 2, 1, 1, 5, 1, 2, 5)
+
+
+def test_rebuilt_sentences(spark):
+    rows = [("v", 1, 1, "a", "甲乙", False), ("v", 1, 2, "b", "夾", True), ("v", 1, 3, "c", "丙丁", False), ("v", 2, 1, "d", "戊", False), ("v", 2, 2, "e", None, False)]
+    boxes = spark.createDataFrame(rows, "vol string, page int, box_idx int, id string, sinonom string, is_dbl boolean")
+    marks = spark.createDataFrame([("v", 2, "。"), ("v", 0, "，"), ("v", 99, "。")], "vol string, pos long, mark string")
+    got = stream.rebuilt_sentences(boxes, marks, ["vol"], ["page", "box_idx", "id"], "sinonom", "。！？；")
+    assert [(r.page, r.sent_idx, r.segment, r.box_ids, r.is_dbl) for r in got.orderBy("page", "sent_idx").collect()] == [
+        (1, 1, "甲乙丙", ["a", "c"], False), (1, 2, "夾", ["b"], True), (1, 3, "丁戊", ["c", "d"], False),
+    ]
+
+
+def test_edits_must_match_once(spark):
+    import pytest
+
+    rows = spark.createDataFrame([(1, "甲乙甲"), (2, "甲乙"), (3, None)], "k int, t string")
+    fine = spark.createDataFrame([(2, "甲", "丙"), (1, "乙", "丁")], "k int, old string, new string")
+    assert _rows(patching.replaced_once(rows, fine, ["k"], "t")) == [(1, "甲丁甲"), (2, "丙乙"), (3, None)]
+    with pytest.raises(Exception, match="not exactly once"):
+        patching.replaced_once(rows, spark.createDataFrame([(1, "甲", "丙")], "k int, old string, new string"), ["k"], "t").collect()
 
 
 def test_header_crop(spark):
-    bands = [(10, 30), (80, 100), (110, 130), (140, 160), (170, 190)]
-    rows = [(1, y, 50.0, 1000, 200) for a, b in bands for y in range(a, b)] + [(2, y, 50.0, 1000, 200) for a, b in bands[1:] for y in range(a + 300, b + 300)]
+    def page(k, bands):
+        return [(k, y, 50.0, 1000, 200) for a, b in bands for y in range(a, b + 1)]
+
+    rows = page(1, [(150, 189), (300, 339), (360, 399), (420, 459)]) + page(2, [(300, 339), (360, 399), (420, 459)]) + page(3, [(10, 40)]) + [(4, 5, 0.0, 1000, 200)]
     got = layout.header_crop(spark.createDataFrame(rows, "page int, y int, ink double, height int, width int"), ["page"], "height", "width")
-    assert sorted(map(tuple, got.collect())) == [(1, 76), (2, 0)]
+    assert sorted(map(tuple, got.collect())) == [(1, 292), (2, 0), (3, 0), (4, 0)]
 
 
 def test_sequences(spark):
@@ -181,10 +269,12 @@ def test_sequences(spark):
     rows = spark.createDataFrame([(1, "百千，萬", "bách thiên vạn"), (2, "百千", "thiên"), (3, None, "x"), (4, "百", None)], "k int, t string, r string")
     got = sorted((x.k, x.pos, x.sn, x.qn) for x in sequences.paired_readings(rows, ["k"], "t", "r").collect())
     assert got == [(1, 1, "百", "bách"), (1, 2, "千", "thiên"), (1, 3, "萬", "vạn"), (2, 1, "百", None), (2, 2, "千", "thiên"), (4, 1, "百", None)]
-    assert sequences.token_distance("a b c".split(), "a x c d".split()) == 2
-    texts = ["Một hai-\nba \\bf{x}  bốn , năm", " 12 Sáu\n bảy [3 a] tám!", None, "", "thường"]
+    lists = [("a b c", "a x c d"), ("a", "a"), ("", ""), (None, "a b"), ("a a b", "b a a")]
+    told = spark.createDataFrame(lists, "a string, b string").select(sequences.token_similarity(*(F.filter(F.split(c, " "), lambda t: t != "") for c in "ab")).alias("s"))
+    assert [round(r.s, 4) for r in told.collect()] == [0.5, 1.0, 1.0, 0.0, round(1 / 3, 4)]
+    texts = ["Một hai-\nba \\bf{x}  bốn , năm", " 12 Sáu\n bảy [3 a] tám!", None, "", "thường", "a * * b • c"]
     df = sequences.with_provenance(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
     for r in df.collect():
         if r.t is not None:
-            assert r.places is not None and len(r.places) == len(r.clean)
+            assert r.places is not None and len(r.places) == len(r.clean) and r.places == sorted(r.places)
             assert all(c == r.t[k] for c, k in zip(r.clean, r.places) if c != " ")
