@@ -39,7 +39,7 @@ def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     place = ("chapter", "page", "sent_idx")
     return (
-        corpus_rows(spark, d, "han_sentences", *place, "sinonom", "is_dbl"),
+        corpus_rows(spark, d, "han_sentences", *place, "sinonom", where="NOT coalesce(is_dbl, false)"),
         corpus_rows(spark, d, "vi_sentences", *place, "text"),
         table(spark, d, "hanviet"),
         table(spark, d, "s2_readings"),

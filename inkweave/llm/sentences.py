@@ -3,9 +3,9 @@
 Everything is SQL expressions. What only looks like a stop (decimals, links, initials, abbreviations,
 stops inside a quotation, numbers of a page) is masked by private-use characters; the terminators of the
 script are then found by regular expressions and a boundary character is set behind each; at last the
-masks are turned back. Chinese rows without any mark are cut behind each statement that fits one of the
-sentence patterns of annals (report and request, grant, levy, edict, dialogue, maxim ...) and behind a
-final particle that is followed by an opening word.
+masks are turned back. Chinese rows without any mark have no terminators: there every gap between two
+characters is scored by what stands before and behind it, with weights learnt from the rows that are
+punctuated (see ``boundaries``), and a boundary is set where the score is above zero.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkweave.functions.unicode import nfc, nfkc, strip_ignorable
+from inkweave.llm import boundaries
 from inkweave.llm.lookalikes import KANA, RADICALS
 
 #: The boundary, and the masks of . ! ? … and of the Chinese stops.
@@ -68,29 +69,6 @@ def vi_marked(text: Column) -> Column:
     return F.regexp_replace(t, rf"(:\s*«[^«»]*»)(?=\s*[^\s.!?…,;:)\]»{BREAK}])", f"$1{BREAK}")
 
 
-# The sentence patterns of bare annals; h is any ideograph, the rest are the words that make the pattern.
-_H = r"[\x{3400}-\x{9FFF}\x{20000}-\x{3FFFF}]"
-_NUMBER = "[元正〇一二三四五六七八九十百千萬]+"
-_PLACE = "(?:某村|h{2}[江村省縣府社])"
-_FIGURE = "(?:[春秋]h{3}|h{3})"
-_OPENING = "(?:於是|先是|是歲|是月|既而|[蓋夫又尋])"
-_DATE = "(?:h{2}n年(?:[春夏秋冬]n月)?)"
-_PARTICLE = "[焉矣也耳哉乎]"
-STATEMENTS = [
-    "p官h{3}奏言h{2}請h{2}", "賜h{3}hnh以h{2}有功", "以ph{2}命h{4}", "p之民以hnh從h{3}h{2}", "ph?收h{3}n斤",
-    "h{2}築p城長n里", "h{2}政要卷n言h{3}之h{2}", "上問h{3}曰h{2}焉能不h{2}", "上諭h{3}曰h{2}在h{2}f",
-    "h{3}對曰h{2}在h{2}不可不h{2}", "h{3}曰h高h遠h{2}h{2}", "h{2}既成h{3}罰hnhp無事", "h{2}莫大乎h{2}不如h{2}",
-    "h{2}也者h{2}之本f", "h{2}在h{2}h{3}聞之h{2}", "h{3}在ph{2}h{4}", "在ph{8}", "h{4}h{3}之言",
-]
-
-
-def _pattern(p: str) -> str:
-    for short, long in (("p", _PLACE), ("f", _FIGURE), ("n", _NUMBER), ("h", _H)):
-        p = p.replace(short, long)
-    return p
-
-
-STATEMENT = _pattern(f"{_OPENING}?{_DATE}?(?:兵n名)?(?:") + "|".join(map(_pattern, STATEMENTS)) + f"){_PARTICLE}?+"
 _PLAIN = "".join(c[0] * (len(c) - 1) for c in f"{KANA} {RADICALS}".split())
 _ALIKE = "".join(c[1:] for c in f"{KANA} {RADICALS}".split())
 
@@ -100,16 +78,15 @@ def han_plain(text: Column) -> Column:
     return F.translate(F.regexp_replace(nfkc(strip_ignorable(text)), r"(?U)\s+", ""), _ALIKE, _PLAIN)
 
 
+#: A Chinese row with any of these is punctuated.
+PUNCTUATED = "[。!?;…,，.]"
+
+
 def han_marked(plain: Column) -> Column:
-    """A plain Chinese text with a boundary character behind every sentence but the last; null stays null."""
+    """A plain punctuated Chinese text with a boundary character behind every sentence but the last; null stays null."""
     t = _mask_quoted(F.regexp_replace(plain, r"\.", "。"), "「『", "」』")
     t = F.regexp_replace(t, r"([。!?;…]+[」』]*)(?=[^。!?;…」』])", f"$1{BREAK}")
-    stopped = F.regexp_replace(t, rf"(:「[^「」]*」)(?=[^。!?;…」』,{BREAK}])", f"$1{BREAK}")
-    bare = F.regexp_replace(plain, f"({STATEMENT})", f"$1{BREAK}")
-    opening = _pattern(f"{_OPENING}|{_DATE}")
-    bare = F.regexp_replace(bare, rf"({_PARTICLE})(?={opening})", f"$1{BREAK}")
-    bare = F.rtrim(F.regexp_replace(bare, f"{BREAK}+", BREAK), F.lit(BREAK))
-    return F.when(plain.rlike("[。!?;…,，.]"), stopped).otherwise(bare)
+    return F.regexp_replace(t, rf"(:「[^「」]*」)(?=[^。!?;…」』,{BREAK}])", f"$1{BREAK}")
 
 
 def unmasked(marked: Column) -> Column:
@@ -131,39 +108,58 @@ def _as_written(counts: Column, raw: Column) -> Column:
     return F.when(raw.rlike(r"[\x{2E80}-\x{2FDF}]"), fewer).otherwise(counts)
 
 
-def _marked(df: DataFrame, text: str, script: str) -> DataFrame:
+def _checked(script: str) -> None:
     if script not in ("vi", "han"):
         raise ValueError(f"no terminators for script {script}")
-    raw = F.col(text)
+
+
+def _cut(df: DataFrame, text: str, script: str, keep: tuple[str, ...], model: boundaries.Gaps | None) -> DataFrame:
+    """``keep`` columns, __raw, and either __marked, a marked text, or __cuts, the letters of a bare one behind which a sentence ends."""
+    _checked(script)
+    picked = df.select(*keep, F.col(text).alias("__raw")).where("__raw is not null")
+    none = F.lit(None).cast("array<int>").alias("__cuts")
     if script == "vi":
-        return df.withColumn("__marked", vi_marked(raw))
-    return df.withColumn("__plain", han_plain(raw)).withColumn("__marked", han_marked(F.col("__plain"))).drop("__plain")
+        return picked.select(*keep, "__raw", vi_marked(F.col("__raw")).alias("__marked"), none)
+    plain = picked.withColumn("__plain", han_plain(F.col("__raw")))
+    marked = plain.where(F.col("__plain").rlike(PUNCTUATED)).select(*keep, "__raw", han_marked(F.col("__plain")).alias("__marked"), none)
+    bare = plain.where(~F.col("__plain").rlike(PUNCTUATED))
+    scored = boundaries.cut_bare(bare, keep, "__raw", "__plain", model or learn_boundaries(df, text))
+    return marked.unionByName(scored.select(*keep, "__raw", F.lit(None).cast("string").alias("__marked"), "__cuts"))
 
 
-def sentence_boundaries(df: DataFrame, text: str, script: str, *keep: str) -> DataFrame:
+def learn_boundaries(df: DataFrame, text: str, most: int = boundaries.LABELLED) -> boundaries.Gaps:
+    """Weights for bare Chinese text from the punctuated rows of ``df``: at most ``most`` labelled rows, chosen by a hash of
+    the text whatever the order of rows. Without any, no bare text is cut."""
+    raw = F.col(text)
+    some = df.where(raw.rlike("[。！？；｡!?;]") & (F.length(raw) <= boundaries.LONGEST)).select(F.xxhash64(raw).alias("o"), raw.alias("t")).orderBy("o", "t").limit(most)
+    rows = some.select(han_marked(han_plain(F.col("t"))).alias("m")).collect()
+    return boundaries.Gaps.fit([r.m for r in rows], BREAK)
+
+
+def sentence_boundaries(df: DataFrame, text: str, script: str, *keep: str, model: boundaries.Gaps | None = None) -> DataFrame:
     """``keep`` columns, boundary_at: a row per place inside a text where one sentence ends and the next begins.
 
     ``boundary_at`` counts the letters and digits of the text as it stands before that place. Null, empty
     and one-sentence texts give no row; the text's own start and end are no boundaries; repeated rows give
-    theirs again; an empty table none. ``script`` is 'vi' or 'han'.
+    theirs again; an empty table none. ``script`` is 'vi' or 'han'; for 'han', ``model`` cuts rows without
+    marks and is learnt from the punctuated rows of ``df`` where it is not given.
     """
-    picked = df.select(*keep, F.col(text).alias("__raw")).where("__raw is not null")
-    counts = boundary_counts(F.col("__marked"))
+    found = _cut(df, text, script, keep, model).where(F.col("__marked").contains(BREAK) | (F.size("__cuts") > 0))
+    counts = F.coalesce("__cuts", boundary_counts(F.col("__marked")))
     if script == "han":
         counts = _as_written(counts, F.col("__raw"))
     all_of_it = F.length(F.regexp_replace(F.col("__raw"), r"[^\p{L}\p{N}]+", ""))
-    found = _marked(picked, "__raw", script).where(F.col("__marked").contains(BREAK))
     each = found.select(*keep, all_of_it.alias("__all"), F.explode(F.array_distinct(counts)).alias("boundary_at"))
     return each.where("boundary_at > 0 AND boundary_at < __all").drop("__all")
 
 
-def sentence_units(df: DataFrame, text: str, script: str, *keep: str) -> DataFrame:
+def sentence_units(df: DataFrame, text: str, script: str, *keep: str, model: boundaries.Gaps | None = None) -> DataFrame:
     """``keep`` columns, unit_no (from 1), unit: every sentence of every text, trimmed, none of them blank.
 
     Null and blank texts give no row. Units are composed, without invisible characters; Chinese ones are
-    plain forms without spaces.
+    plain forms without spaces. ``model`` as in ``sentence_boundaries``.
     """
-    picked = df.select(*keep, F.col(text).alias("__raw"))
-    pieces = F.transform(F.split(unmasked(F.col("__marked")), BREAK), lambda x: F.btrim(x, F.lit(" \t\r\n 　")))
-    each = _marked(picked, "__raw", script).select(*keep, F.posexplode(F.filter(pieces, lambda x: x.rlike(r"[\p{L}\p{N}]"))).alias("unit_no", "unit"))
+    broken = boundaries.with_breaks(han_plain(F.col("__raw")), F.col("__cuts"), BREAK)
+    pieces = F.transform(F.split(F.when(F.col("__marked").isNotNull(), unmasked(F.col("__marked"))).otherwise(broken), BREAK), lambda x: F.btrim(x, F.lit(" \t\r\n 　")))
+    each = _cut(df, text, script, keep, model).select(*keep, F.posexplode(F.filter(pieces, lambda x: x.rlike(r"[\p{L}\p{N}]"))).alias("unit_no", "unit"))
     return each.withColumn("unit_no", F.col("unit_no") + 1)
