@@ -104,7 +104,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.split_oversized(corpus_rows(spark, d, "han_sentences", "sinonom"), "sinonom", "vol", "id")
+    return splitting.split_oversized(_long_rows(spark, d), "sinonom", "vol", "id")
+
+
+def _long_rows(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_rows(spark, d, "han_sentences", "sinonom", where=F.length("sinonom") > 120)
+
+
+def p6_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows in pieces merged over the whole text, cut where it pauses most."""
+    return splitting.split_merged(_long_rows(spark, d), "sinonom", "vol", "id")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -143,7 +152,7 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_paragraphs, p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
+    f.__name__: f for f in (p1_found, p1_paragraphs, p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p6_merged, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
 }
 
 _VI_ROWS = "SELECT DISTINCT ON (vol, id) text FROM vi_sentences"

@@ -82,3 +82,53 @@ def test_split_rows(spark):
     assert splitting.pieces(huge)[-1][2] == len(huge)
     with pytest.raises(ValueError):
         splitting.split_oversized(df, "t", "id", overlap=90)
+
+
+def _merged_brute(ends, strength, room):
+    """Merges the weakest pair that fits (smallest, then first) until none does, looking at all pairs each time."""
+    cuts = list(zip(ends, strength))
+    while True:
+        begins = [0, *(e for e, _ in cuts)]
+        pairs = [(s, cuts[k + 1][0] - begins[k], k) for k, (_, s) in enumerate(cuts[:-1]) if cuts[k + 1][0] - begins[k] <= room]
+        if not pairs:
+            return [e for e, _ in cuts]
+        del cuts[min(pairs)[2]]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9), st.integers(1, 3)), min_size=1, max_size=25), st.integers(5, 30))
+def test_merging_against_brute_force(atoms, room):
+    ends = [sum(n for n, _ in atoms[: k + 1]) for k in range(len(atoms))]
+    strength = [(s,) for _, s in atoms]
+    got = splitting.merge_weakest(ends, strength, lambda begin, _, end: end - begin <= room)
+    assert got == _merged_brute(ends, strength, room)
+
+
+def test_weak_boundaries_are_merged_first():
+    """Taking segments from the left, or without regard to strength, would cut inside the second sentence."""
+    text = "甲" * 50 + "。" + "乙" * 40 + "，" + "丙" * 40 + "。"
+    assert splitting.merged_pieces(text, 100, 10) == [(1, 0, 51), (2, 41, 133)]
+    assert [text[s:e] for _, s, e in splitting.pieces(text, 100, 40, 10)][0].endswith("。")
+    assert splitting.merge_weakest([50, 60, 70], [(3,), (1,), (4,)], lambda b, m, e: e - b <= 60) == [50, 70]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("甲乙。，」", max_size=400), st.integers(2, 40).flatmap(lambda n: st.tuples(st.just(n), st.integers(0, n - 1))))
+def test_merged_pieces_fit_and_cover(text, sizes):
+    limit, overlap = sizes
+    made = splitting.merged_pieces(text, limit, overlap)
+    assert bool(made) == (len(text) > limit)
+    at = 0
+    for k, (no, s, e) in enumerate(made):
+        assert no == k + 1 and s <= at < e and e - s <= limit
+        at = e
+    assert not made or at == len(text)
+
+
+def test_merged_rows(spark):
+    df = spark.createDataFrame([("v", "a", "甲乙。" * 100), ("v", "b", None), ("v", "c", ""), ("v", "d", "短")], "vol string, id string, t string")
+    got = [tuple(r) for r in splitting.split_merged(df, "t", "vol", "id").orderBy("piece_no").collect()]
+    assert got == [("v", "a", *p) for p in splitting.merged_pieces("甲乙。" * 100)]
+    assert splitting.split_merged(df.limit(0), "t", "vol", "id").count() == 0
+    with pytest.raises(ValueError):
+        splitting.split_merged(df, "t", "id", limit=10, overlap=10)
