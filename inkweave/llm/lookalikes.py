@@ -2,13 +2,18 @@
 
 Ignorable characters are deleted, compatibility forms decomposed, every kind of space made U+0020
 and the ends trimmed, all in the JVM. What is left may still hold letters that look like another
-(a katakana for an ideograph, a Cyrillic for a Latin letter, a radical for its ideograph). Every
-character then opens the whole class of its look-alikes as states of a lattice; the path with the
-best script-consistent n-gram score is the consistent form. Because a class is the same from each of
-its members, texts that read alike have the same lattice and so the same path, whatever the scores.
-
-The scores come from all rows: how often each class member stands beside characters of each script.
-That table has at most (members x scripts) rows, so it is broadcast.
+(a katakana for an ideograph, a Cyrillic for a Latin letter, a radical for its ideograph). Every such
+character opens its candidates as states of a lattice; the path with the best script-consistent
+n-gram score is the consistent form.
+
+Two kinds of characters open candidates. Characters drawn exactly alike open their whole class, so
+texts that differ in them only have one lattice and one form; the scores decide which member is
+written (a word of letters that three scripts share is written in the script of its surroundings and of
+the corpus). Characters that look like several others (``SEVERAL``) open the classes of all of them; there
+the scores decide what is read, and so which texts read alike.
+
+The scores come from all rows: how often each candidate stands behind a character of each script and
+before one. That table has at most (candidates x scripts x 2) rows, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from inkweave.session import cut_lineage
 
 # Look-alikes, first the plain character, then others drawn the same way. Two unified
 # ideographs never share a class: those differ on paper.
-KANA = "二ニ 八ハ 力カ 工エ 口ロ 夕タ 一ーㄧ 丿ノ 〇○◯ 厶ㄙ 丫ㄚ"
+KANA = "二ニ 八ハ 力カ 工エ 口ロ 夕タ 一ーㄧ 丿ノ 厶ㄙ 丫ㄚ"
 RADICALS = (
     "厂⺁ㄏ 几⺇ 卜⺊ト 尢⺐ 巳⺒ 幺⺓ㄠ 彑⺔ 彐⺕ 忄⺖ 扌⺘ 攵⺙ 旡⺛ 日⺜ 月⺝ 歺⺞ 母⺟ 民⺠ 氵⺡ 氺⺢ 灬⺣ 爫⺤ 丬⺦ 犭⺨ 王⺩ 疋⺪ "
     "目⺫ 示⺬ 礻⺭ 糹⺯ 纟⺰ 罓⺱ 罒⺲ 网⺳ 冈⺴ 羊⺶ 耂⺹ 肀⺺ 聿⺻ 肉⺼ 臼⺽ 艹⺾ 虎⻁ 衤⻂ 覀⻃ 西⻄ 见⻅ 角⻆ 讠⻈ 贝⻉ 足⻊ 车⻋ "
@@ -35,11 +40,18 @@ RADICALS = (
     "歯⻭ 齿⻮ 竜⻯ 龙⻰ 龜⻱ 亀⻲ 龟⻳"
 )
 LETTERS = (
-    "aаɑα bЬ cсϲ dԁ eе gɡ hһ iі jј kκк lӏ mм nո oоοօ pрρ qԛ sѕ uս vνѵ wԝ xхχ yуγ "
+    "aаɑα bЬ cсϲ dԁ eе gɡ hһ iі jј kκк mм nո oоοօ pрρ qԛ sѕ uս vνѵ wԝ xхχ yуγ "
     "AАΑ BВΒ CСϹ EЕΕ HНΗ IІΙ JЈ KКΚ MМΜ NΝ OОΟ PРΡ SЅ TТΤ XХΧ YҮΥ ZΖ"
 )
+# Signs drawn like several others: a palochka or a bar-like click as a small l or a capital i, rings
+# as the ideographic zero or a letter.
+SEVERAL = {"ӏ": "lI", "Ӏ": "lI", "ǀ": "lI", "○": "〇O", "◯": "〇O"}
 CLASSES = [c for part in (KANA, RADICALS, LETTERS) for c in part.split()]
 CLASS_OF = {x: c for c in CLASSES for x in c}
+#: What each character may be: the states that it opens.
+STATES = CLASS_OF | {x: "".join(CLASS_OF.get(o, o) for o in seen) for x, seen in SEVERAL.items()}
+#: All states, whose neighbours are counted.
+MEMBERS = sorted(set("".join(STATES.values())))
 SCRIPTS = [
     ("han", "⺀-⿟〇㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"), ("kana", "぀-ヿㇰ-ㇿ"),
     ("bopomofo", "㄀-ㄯ"), ("latin", "A-Za-zÀ-ɏɐ-ʯḀ-ỿ\u0300-\u036f"), ("greek", "Ͱ-Ͽ"),
@@ -61,30 +73,35 @@ def skeleton(text: Column) -> Column:
 
 
 class Scores:
-    """How usual a class member is beside a script, as smoothed log-probabilities."""
+    """How usual a candidate is behind and before a script, as smoothed log-probabilities."""
 
-    def __init__(self, counts: list[tuple[str, str, int]]) -> None:
-        self.n: dict[tuple[str, str], int] = {}
-        for ch, script, n in counts:
-            self.n[ch, script] = self.n.get((ch, script), 0) + n
+    def __init__(self, counts: list[tuple[str, str, str, int]]) -> None:
+        self.n: dict[tuple[str, str, str], int] = {}
+        for ch, side, script, n in counts:
+            self.n[ch, side, script] = self.n.get((ch, side, script), 0) + n
         self.all = sum(self.n.values()) + 1
         self.memo: dict[tuple[str, str, str], str] = {}
 
+    def beside(self, ch: str, side: str, script: str) -> float:
+        return math.log((self.n.get((ch, side, script), 0) + 0.5) / self.all)
+
     def step(self, before: str, ch: str | None, script: str) -> float:
-        """From a script to a character (none: one without look-alikes), with a bonus for staying in the script."""
+        """From a script to a candidate (none: one without look-alikes), with a bonus for staying in the script."""
         bonus = 2.0 if before == script else 0.0
-        return bonus if ch is None else bonus + math.log((self.n.get((ch, before), 0) + 0.5) / self.all)
+        return bonus if ch is None else bonus + self.beside(ch, "behind", before)
 
     def run(self, left: str, run: str, right: str) -> str:
         """The best path through a run of ambiguous characters between two scripts; ties go to the plainer one."""
         if (out := self.memo.get((left, run, right))) is not None:
             return out
         best: dict[str, tuple[float, list[str]]] = {left: (0.0, [])}  # by the script of the last character
-        for ch in run:
+        for k, ch in enumerate(run):
             to: dict[str, tuple[float, list[str]]] = {}
-            for o in CLASS_OF[ch]:
+            for o in STATES[ch]:
                 script = script_of(o)
                 score, path = max(((s + self.step(b, o, script), p) for b, (s, p) in best.items()), key=lambda x: x[0])
+                if k == len(run) - 1:
+                    score += self.beside(o, "before", right)
                 if script not in to or score > to[script][0]:
                     to[script] = (score, [*path, o])
             best = to
@@ -94,7 +111,7 @@ class Scores:
         return out
 
 
-_RUN = re.compile(f"[{''.join(CLASS_OF)}]+")
+_RUN = re.compile(f"[{''.join(STATES)}]+")
 
 
 def plain_form(text: str, scores: Scores) -> str:
@@ -110,20 +127,18 @@ def plain_form(text: str, scores: Scores) -> str:
 
 
 def neighbour_counts(texts: DataFrame, skeleton_col: str = "skeleton") -> DataFrame:
-    """member, script, n: how often each class member stands behind a character of each script, over all rows."""
+    """member, side, script, n: how often each candidate stands behind and before a character of each script, over all rows."""
     chars = F.split(F.col(skeleton_col), "")
-    pairs = texts.select(chars.alias("chars")).select(
-        F.explode(F.filter(
-            F.transform("chars", lambda c, k: F.struct(c.alias("member"), F.try_element_at("chars", F.when(k > 0, k)).alias("before"))),
-            lambda x: x["member"].isin(*CLASS_OF),
-        )).alias("x")
-    ).select("x.member", "x.before")
+    beside = lambda c, side, k: F.struct(c.alias("member"), F.lit(side).alias("side"), F.try_element_at("chars", k).alias("other"))
+    both = lambda c, k: F.array(beside(c, "behind", F.when(k > 0, k)), beside(c, "before", F.when(k + 1 < F.size("chars"), k + 2)))
+    held = texts.where(F.col(skeleton_col).rlike(f"[{''.join(MEMBERS)}]")).select(chars.alias("chars"))
+    pairs = held.select(F.explode(F.filter(F.flatten(F.transform("chars", both)), lambda x: x["member"].isin(*MEMBERS))).alias("x")).select("x.*")
     script = F.lit(OTHER)
-    for name, chars in reversed(SCRIPTS):
-        script = F.when(F.col("before").rlike(f"[{chars}]"), name).otherwise(script)
-    counted = pairs.groupBy("before", "member").agg(F.count("*").alias("n"))
-    named = counted.select("member", F.when(F.col("before").isNull(), EDGE).otherwise(script).alias("script"), "n")
-    return named.groupBy("member", "script").agg(F.sum("n").alias("n"))
+    for name, part in reversed(SCRIPTS):
+        script = F.when(F.col("other").rlike(f"[{part}]"), name).otherwise(script)
+    counted = pairs.groupBy("other", "side", "member").agg(F.count("*").alias("n"))
+    named = counted.select("member", "side", F.when(F.col("other").isNull(), EDGE).otherwise(script).alias("script"), "n")
+    return named.groupBy("member", "side", "script").agg(F.sum("n").alias("n"))
 
 
 def consistent_form(df: DataFrame, text: str, out: str = "form") -> DataFrame:
@@ -134,8 +149,8 @@ def consistent_form(df: DataFrame, text: str, out: str = "form") -> DataFrame:
     """
     if out in df.columns:
         raise ValueError(f"column {out} exists")
-    counts = neighbour_counts(df.select(skeleton(F.col(text)).alias("skeleton"))).collect()  # at most members x scripts
-    shared = df.sparkSession.sparkContext.broadcast(sorted((r.member, r.script, r.n) for r in counts))
+    counts = neighbour_counts(df.select(skeleton(F.col(text)).alias("skeleton"))).collect()  # at most candidates x scripts x 2
+    shared = df.sparkSession.sparkContext.broadcast(sorted((r.member, r.side, r.script, r.n) for r in counts))
 
     @F.pandas_udf("string")
     def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

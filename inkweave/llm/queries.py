@@ -95,14 +95,21 @@ def p4_ngrams(spark: SparkSession, d: str) -> DataFrame:
     return counted.select(F.concat_ws(" ", "ngram").alias("ngram"), F.size("ngram").alias("terms"), "n", "records")
 
 
+def _columns_and_sentences(spark: SparkSession, d: str) -> DataFrame:
+    both = [corpus_rows(spark, d, t, "chapter", "sinonom").withColumn("entity", F.lit(t)) for t in ("han_boxes", "han_sentences")]
+    return both[0].unionByName(both[1])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    both = [
-        corpus_rows(spark, d, t, "chapter", "sinonom").withColumn("entity", F.lit(t)) for t in ("han_boxes", "han_sentences")
-    ]
-    pairs = lookalikes.read_alike_pairs(both[0].unionByName(both[1]), ["entity", "vol", "chapter"], "id", "sinonom")
+    pairs = lookalikes.read_alike_pairs(_columns_and_sentences(spark, d), ["entity", "vol", "chapter"], "id", "sinonom")
     return pairs.select("entity", "vol", "id_a", "id_b")
 
 
+def p5_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of both tables in its one consistent form."""
+    return lookalikes.consistent_form(_columns_and_sentences(spark, d), "sinonom").select("entity", "vol", "id", "form")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_oversized(_long_rows(spark, d), "sinonom", "vol", "id")
 
@@ -130,8 +137,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_spans(spark: SparkSession, d: str) -> DataFrame:
-    """The stretches of units to remove from each document concerned."""
-    return leakage.leaked_spans(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
+    """The stretches of units to remove from each document concerned, with the items that leaked there."""
+    spans = leakage.leaked_spans(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
+    return spans.withColumn("item_ids", F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ","))
+
+
+def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """Each document concerned without the leaked passages."""
+    return leakage.cleaned_documents(spread(table(spark, d, "documents")), table(spark, d, "eval_items"))
 
 
 def _prose_judge(spark: SparkSession, d: str) -> quality.ProseJudge:
@@ -152,7 +165,7 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_paragraphs, p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p6_found, p6_merged, p7_ids, p7_decoded, p8_found, p8_spans, p9_found, p9_statistics)
+    f.__name__: f for f in (p1_found, p1_paragraphs, p2_found, p2_sentences, p3_found, p3_units, p4_found, p4_terms, p4_ngrams, p5_found, p5_forms, p6_found, p6_merged, p7_ids, p7_decoded, p8_found, p8_spans, p8_cleaned, p9_found, p9_statistics)
 }
 
 _VI_ROWS = "SELECT DISTINCT ON (vol, id) text FROM vi_sentences"

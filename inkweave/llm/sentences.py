@@ -69,8 +69,8 @@ def vi_marked(text: Column) -> Column:
     return F.regexp_replace(t, rf"(:\s*«[^«»]*»)(?=\s*[^\s.!?…,;:)\]»{BREAK}])", f"$1{BREAK}")
 
 
-_PLAIN = "".join(c[0] * (len(c) - 1) for c in f"{KANA} {RADICALS}".split())
-_ALIKE = "".join(c[1:] for c in f"{KANA} {RADICALS}".split())
+_PLAIN = "".join(c[0] * (len(c) - 1) for c in f"{KANA} {RADICALS} 〇○◯".split())
+_ALIKE = "".join(c[1:] for c in f"{KANA} {RADICALS} 〇○◯".split())
 
 
 def han_plain(text: Column) -> Column:

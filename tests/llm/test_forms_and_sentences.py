@@ -41,6 +41,28 @@ def test_forms(spark):
         lookalikes.consistent_form(df.withColumnRenamed("t", "form"), "form")
 
 
+def test_the_scores_decide_the_form():
+    """A word of letters that two scripts share is written in the script that the corpus uses; a ring is what its place holds."""
+    latin = lookalikes.Scores([(c, "behind", "latin", 50) for c in "aceopxyHATMl"])
+    russian = lookalikes.Scores([(c, "behind", "cyrillic", 50) for c in "асеорхуНАТМ"])
+    assert lookalikes.plain_form("сосо xyz", latin) == "coco xyz" and lookalikes.plain_form("coco жук", russian) == "сосо жук"
+    small, capital = (lookalikes.Scores([(c, "behind", s, 90) for s in ("latin", "space", "edge")]) for c in "lI")
+    assert lookalikes.plain_form("aӏb", small) == "alb" and lookalikes.plain_form("aӏb", capital) == "aIb"
+    assert lookalikes.plain_form("二○三", lookalikes.Scores([])) == "二〇三" and lookalikes.plain_form("B○B", lookalikes.Scores([])) == "BOB"
+
+
+def test_the_scores_decide_who_reads_alike(spark):
+    """With a corpus of small l the sign is one, with a corpus of capital i it is that; so the pairs differ."""
+    rows = [("p", "aӏbert aӏbert"), ("q", "albert albert"), ("r", "aIbert aIbert")]
+
+    def pairs(usual):
+        made = rows + [(f"x{k}", f"{usual * (k + 1)}") for k in range(20)]
+        df = spark.createDataFrame([("v", *r) for r in made], "vol string, id string, t string")
+        return {(r.id_a, r.id_b) for r in lookalikes.read_alike_pairs(df, ["vol"], "id", "t").collect()}
+
+    assert pairs("alal ") == {("p", "q")} and pairs("aIaI ") == {("p", "r")}
+
+
 def _letters(s):
     return sum(unicodedata.category(c)[0] in "LN" for c in s)
 

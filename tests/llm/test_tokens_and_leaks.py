@@ -86,8 +86,15 @@ def test_leaks(spark, most):
     assert leakage.leaked_items(d, i.limit(0), most_chars=most).count() == 0
 
 
-def test_spans(spark):
-    item = "một hai ba bốn năm"
-    d = spark.createDataFrame([(1, f"x y {item} z w {item}"), (2, "khác"), (3, None)], "doc_id bigint, text string")
-    i = spark.createDataFrame([(7, item)], "item_id bigint, text string")
-    assert sorted(map(tuple, leakage.leaked_spans(d, i, window=5).collect())) == [(1, 2, 5), (1, 9, 5)]
+@pytest.mark.parametrize("most", [leakage.MOST_CHARS, 0])
+def test_spans_and_cleaned_documents(spark, most):
+    item, other = "một hai ba bốn năm", "ba bốn năm sáu bảy"
+    texts = [f"x y {item} z w {item}", "khác", None, f"Trước. MỘT HAI, ba\nbo\u0302\u0301n na\u0306m\u200b sáu bảy! Sau.", "水Ａ火 một-hai ba bốn năm 土", f"{item} " * 3000]
+    d = spark.createDataFrame([(k, t) for k, t in enumerate(texts, 1)], "doc_id bigint, text string")
+    i = spark.createDataFrame([(7, item), (8, other)], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.first_unit, r.units, r.item_ids) for r in leakage.leaked_spans(d, i, window=5, most_chars=most).collect())
+    assert got[:4] == [(1, 2, 5, [7]), (1, 9, 5, [7]), (4, 1, 7, [7, 8]), (5, 3, 5, [7])]
+    cleaned = {r.doc_id: r.text for r in leakage.cleaned_documents(d, i, 5, most).collect()}
+    assert set(cleaned) == {1, 4, 5, 6} and cleaned[1] == "x y  z w " and cleaned[4] == "Trước. ! Sau." and cleaned[5] == "水Ａ火  土"
+    assert leakage.leaked_items(spark.createDataFrame([(k, t) for k, t in cleaned.items()], d.schema), i, window=5).count() == 0
+    assert leakage.cleaned_documents(d.limit(0), i, 5, most).count() == 0 and leakage.leaked_spans(d, i.limit(0), 5, most).count() == 0
