@@ -263,7 +263,7 @@ def token_similarity(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def text_provenance(s: SparkSession, d: str) -> DataFrame:
-    rows = sequences.with_provenance(corpus_rows(s, d, "vi_sentences", "text", where="text is not null"), "text")
+    rows = sequences.with_provenance(corpus_rows(s, d, "vi_sentences", "text", where="text is not null", costly=True), "text")
     return rows.select("vol", "id", "clean", F.array_join(F.transform("places", lambda p: p.cast("string")), " ").alias("places"))
 
 
@@ -328,8 +328,8 @@ def bag_vector(tokens: Column, size: int = 32) -> Column:
 
 def _sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Both sides of every chapter with order, text, tokens and token weights; interlinear and unknown rows take no part."""
-    han = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx", "sinonom", "am_han_viet", where="NOT coalesce(is_dbl, false)")
-    vi = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text", where="text is not null")
+    han = corpus_rows(s, d, "han_sentences", "chapter", "page", "sent_idx", "sinonom", "am_han_viet", where="NOT coalesce(is_dbl, false)", costly=True)
+    vi = corpus_rows(s, d, "vi_sentences", "chapter", "page", "sent_idx", "text", where="text is not null", costly=True)
     vi = vi.join(lexicon.known_rows(vi, ["vol", "id"], T.vi_tokens(F.col("text")), _vocabulary(s, d)).select("vol", "id"), ["vol", "id"], "left_semi")
     order = F.col("page") * 100_000 + F.col("sent_idx")
     counted = T.let(F.col("tokens"), lambda ts: F.map_from_arrays(F.array_distinct(ts), F.transform(F.array_distinct(ts), lambda t: F.size(F.filter(ts, lambda x: x == t)).cast("double"))))

@@ -19,14 +19,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def corpus_rows(spark: SparkSession, directory: str, name: str, *columns: str, where: Column | str | None = None) -> DataFrame:
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` over the session's shuffle partitions, for costly operators per row.
+
+    Being asked for by number, they are not joined into fewer afterwards because their bytes are few.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def corpus_rows(spark: SparkSession, directory: str, name: str, *columns: str, where: Column | str | None = None, costly: bool = False) -> DataFrame:
     """Each (vol, id) of a row table once, with the given columns only.
 
     A repeated delivery has the same content, so ``where`` may look at any column but loaded_at and filters the
     scan; what passes is dealt out by its key, and rows equal in all selected columns become one without a
-    sort. Rows whose key holds a null are one per content. An empty table stays empty.
+    sort. Rows whose key holds a null are one per content. An empty table stays empty. ``costly`` keeps the
+    partitions as they are dealt (see ``dealt``), else few bytes are joined into few partitions.
     """
     df = table(spark, directory, name)
     if where is not None:
         df = df.where(where)
-    return df.select(*dict.fromkeys(("vol", "id", *columns))).repartition("vol", "id").distinct()
+    picked = df.select(*dict.fromkeys(("vol", "id", *columns)))
+    return (dealt(picked, "vol", "id") if costly else picked.repartition("vol", "id")).distinct()
