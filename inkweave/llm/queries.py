@@ -16,18 +16,18 @@ TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
 
 def _boxes(spark: SparkSession, d: str) -> DataFrame:
-    return corpus_rows(spark, d, "han_boxes", "chapter", "page", "box_idx", "bbox", "sinonom")
+    return corpus_rows(spark, d, "han_boxes", "chapter", "page", "box_idx", "bbox", "sinonom", costly=True)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    vi = scannoise.vi_noise(corpus_rows(spark, d, "vi_sentences", "text")).withColumn("entity", F.lit("vi_sentences"))
+    vi = scannoise.vi_noise(corpus_rows(spark, d, "vi_sentences", "text", costly=True)).withColumn("entity", F.lit("vi_sentences"))
     han = scannoise.box_noise(_boxes(spark, d)).withColumn("entity", F.lit("han_boxes"))
     return vi.unionByName(han).select("entity", "vol", "id", "kind")
 
 
 def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Every chapter of vi_sentences.text and of han_boxes.sinonom repaired into continuous paragraphs; entity is the table name."""
-    rows = corpus_rows(spark, d, "vi_sentences", "chapter", "page", "sent_idx", "text")
+    rows = corpus_rows(spark, d, "vi_sentences", "chapter", "page", "sent_idx", "text", costly=True)
     repaired = scannoise.repaired_vi(rows).select("vol", "id", "repaired")
     vi = scannoise.paragraphs(rows.select("vol", "id", "chapter", "page", "sent_idx").join(repaired, ["vol", "id"])).withColumn("entity", F.lit("vi_sentences"))
     boxes = _boxes(spark, d)
@@ -39,8 +39,8 @@ def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     place = ("chapter", "page", "sent_idx")
     return (
-        corpus_rows(spark, d, "han_sentences", *place, "sinonom", where="NOT coalesce(is_dbl, false)"),
-        corpus_rows(spark, d, "vi_sentences", *place, "text"),
+        corpus_rows(spark, d, "han_sentences", *place, "sinonom", "is_dbl", where="NOT coalesce(is_dbl, false)", costly=True),
+        corpus_rows(spark, d, "vi_sentences", *place, "text", costly=True),
         table(spark, d, "hanviet"),
         table(spark, d, "s2_readings"),
     )
@@ -56,8 +56,8 @@ def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _both_texts(spark: SparkSession, d: str, find: Callable[..., DataFrame]) -> DataFrame:
-    han = find(corpus_rows(spark, d, "han_sentences", "sinonom"), "sinonom", "han", "vol", "id")
-    vi = find(corpus_rows(spark, d, "vi_sentences", "text"), "text", "vi", "vol", "id")
+    han = find(corpus_rows(spark, d, "han_sentences", "sinonom", costly=True), "sinonom", "han", "vol", "id")
+    vi = find(corpus_rows(spark, d, "vi_sentences", "text", costly=True), "text", "vi", "vol", "id")
     return han.withColumn("entity", F.lit("han_sentences")).unionByName(vi.withColumn("entity", F.lit("vi_sentences")))
 
 
@@ -96,7 +96,7 @@ def p4_ngrams(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _columns_and_sentences(spark: SparkSession, d: str) -> DataFrame:
-    both = [corpus_rows(spark, d, t, "chapter", "sinonom").withColumn("entity", F.lit(t)) for t in ("han_boxes", "han_sentences")]
+    both = [corpus_rows(spark, d, t, "chapter", "sinonom", costly=True).withColumn("entity", F.lit(t)) for t in ("han_boxes", "han_sentences")]
     return both[0].unionByName(both[1])
 
 

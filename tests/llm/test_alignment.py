@@ -61,13 +61,65 @@ def test_rows_of_made_up_chapters(spark):
     s2 = spark.createDataFrame([("ngựa", ["馬"]), (None, ["x"])], "key string, values array<string>")
     got = {(r.han_id, r.vie_id) for r in A.aligned_rows(h, v, hv, s2).collect()}
     assert len(got & truth) >= 0.97 * len(truth) and len(got & truth) >= 0.97 * len(got)
+    # The same links where the lexicon goes by chapters.
+    assert {(r.han_id, r.vie_id) for r in A.aligned_sentences(h, v, hv, s2, most=0).collect()} == got
     assert A.aligned_rows(h.limit(0), v.limit(0), hv, s2).count() == 0
 
 
+def _chapter(han, vi, least=1.0):
+    chapter = A.Chapter([set(x.split()) for x in han], [set(x.split()) for x in vi], least)
+    for i, j in sorted(chapter.score):
+        chapter.of[i].append(j)
+    return chapter
+
+
 def test_local_programme_keeps_order():
-    scores = {(0, 1): 5.0, (1, 0): 5.0, (2, 2): 3.0}
-    assert len(A._local(scores, [0, 1, 2], [0, 1, 2], 1.0)) == 2
-    assert A._local(scores, [], [0], 1.0) == []
+    c = _chapter(["b1 b2", "a1 a2", "c1 c2"], ["a1 a2", "b1 b2", "c1 c2"])
+    assert sorted(A._local(c, [0, 1, 2], [0, 1, 2], 1.0)) in ([(0, 1), (2, 2)], [(1, 0), (2, 2)])
+    assert A._local(c, [], [0], 1.0) == []
+
+
+def test_one_sentence_against_two():
+    """A sentence whose rendering is in two neighbours is linked to both, not to one that says nothing new."""
+    c = _chapter(["a1 a2 a3 b1 b2 b3", "c1 c2"], ["a1 a2 a3", "b1 b2 b3", "c1 c2"])
+    assert A._local(c, [0, 1], [0, 1, 2], 1.0) == [(0, 0), (0, 1), (1, 2)]
+    c = _chapter(["a1 a2 a3", "b1 b2 b3"], ["a1 a2 a3 b1 b2 b3"])
+    assert A._local(c, [0, 1], [0], 1.0) == [(0, 0), (1, 0)]
+    c = _chapter(["a1 a2 a3"], ["a1 a2 a3", "a1 a2"])
+    assert A._local(c, [0], [0, 1], 1.0) == [(0, 0)]
+
+
+def test_local_programme_against_brute_force():
+    r = random.Random(3)
+    for _ in range(60):
+        words = [f"w{k}" for k in range(9)]
+        han, vi = ([" ".join(r.sample(words, r.randint(0, 4))) for _ in range(r.randint(1, 5))] for _ in range(2))
+        c = _chapter(han, vi, 0.4)
+        steps = A._steps(c, list(range(len(han))), list(range(len(vi))), 0.4)
+
+        def best(i, j):
+            return max([0.0, *(g + best(a[-1] + 1, b[-1] + 1) for a, b, g in steps if a[0] >= i and b[0] >= j)])
+
+        got = A._best_steps(c, list(range(len(han))), list(range(len(vi))), 0.4)
+        assert all(x[0][-1] < y[0][0] and x[1][-1] < y[1][0] for x, y in zip(got, got[1:]))
+        assert abs(sum(g for *_, g in got) - best(0, 0)) < 1e-6
+
+
+def test_no_candidate_is_lost_to_anchors_that_stand_everywhere():
+    """Every pair whose common weight reaches the least score is a candidate, however often its anchors stand."""
+    r = random.Random(5)
+    for _ in range(40):
+        words = [f"w{k}" for k in range(6)]
+        han, vi = ([set(r.sample(words, r.randint(0, 6))) for _ in range(30)] for _ in range(2))
+        c = A.Chapter(han, vi, 0.9)
+        want = {(i, j) for i in range(30) for j in range(30) if sum(c.weight[a] for a in han[i] & vi[j]) >= 0.9}
+        assert set(c.score) == want
+
+
+def test_long_gap(spark):
+    """A gap of a thousand by a thousand sentences, over any former bound of cells."""
+    c = _chapter([f"a{k} b{k}" for k in range(1000)], [f"a{k} b{k}" for k in range(1000)])
+    assert A._local(c, list(range(1000)), list(range(1000)), 1.0) == [(k, k) for k in range(1000)]
 
 
 def test_lexicon_is_learnt_from_all_chapters(spark):
@@ -101,5 +153,5 @@ def test_learnt_pairs_against_brute_force(spark):
             if n >= 8 and 2 * n >= 0.5 * (na + nb):
                 want.setdefault(a, set()).add(b)
     df = spark.createDataFrame(rows, "h array<string>, v array<string>")
-    assert A.learn_pairs(df) == want and want["q"] == {"r"} and "o" not in want
-    assert A.learn_pairs(df.limit(0)) == {}
+    assert {(r.h, r.v) for r in A.learn_pairs(df).collect()} == {(h, v) for h, vs in want.items() for v in vs} and want["q"] == {"r"} and "o" not in want
+    assert A.learn_pairs(df.limit(0)).count() == 0
