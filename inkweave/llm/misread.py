@@ -29,8 +29,8 @@ from inkweave.llm.pagenoise import HYPHENS, PageNoise, fold, is_syllable
 from inkweave.llm.sentences import han_plain
 from inkweave.session import cut_lineage
 
-#: Bounds of the labelled samples, and of the table of usual words that is broadcast.
-SAMPLE_ROWS, USUAL_WORDS = 3000, 50_000
+#: Bound of the labelled samples.
+SAMPLE_ROWS = 3000
 #: A candidate is at least this many times as frequent as the word it may replace.
 TIMES = 10
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,12 +55,9 @@ def dice(a: set, b: set) -> float:
     return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
 
 
-def head_forms(texts: list[str], most: int = 200) -> list[str]:
-    """Recurring runs of words in capitals, as folded strings: what heads of this corpus look like."""
-    seen: Counter = Counter()
-    for t in texts:
-        seen.update(fold(re.sub(r"[\d\W_]+", " ", m.group())).strip() for m in re.finditer(rf"(?:{_CAPS}{_SEP})+{_CAPS}", t))
-    return [h for h, n in seen.most_common(most) if n >= 2 and len(h) >= 6]
+#: A run of capitals as a head may have it, for SQL too; and the least share of rows in which a form recurs.
+HEAD_RUN = rf"(?:{_CAPS}{_SEP})+{_CAPS}"
+RECURRING = 1e-4
 
 
 class Context:
@@ -173,12 +169,12 @@ class PageNoise:
         self.context, self.known, self.head, self.number, self.broken = context, known, head, number, broken
 
     @classmethod
-    def fit(cls, texts: list[str], known: set[str], seed: int = 5) -> PageNoise:
-        """From rows of a bounded sample and the usual words of the corpus."""
-        r, context = random.Random(seed), Context(head_forms(texts))
+    def fit(cls, texts: list[str], known: set[str], heads: list[str], seed: int = 5) -> PageNoise:
+        """From rows of a bounded sample, and the usual words and recurring heads of the whole corpus."""
+        r, context = random.Random(seed), Context(heads)
         clean = [t for t in texts if not re.search(rf"[^\w\s.,;:!?…«»\"()\-]|(?:{_CAPS}{_SEP})+{_CAPS}|^\W*\d+\W*$", t, re.M) and len(t) > 40]
         x, head, number, joins, cut = [], [], [], [], []
-        forms = [h.upper() for h in head_forms(texts)]
+        forms = [h.upper() for h in heads]
         for t in clean * 3:
             words = t.split()
             kind = r.randrange(6)

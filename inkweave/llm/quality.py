@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 import random
 import re
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,8 +25,9 @@ from inkweave.llm import rules
 
 #: Bound of the labelled sample: rows of each prose text it is made from.
 LABELLED = 700
-#: Words (or ideographs) of at least this share of the sample's rows count as common.
-COMMON, COMMON_HAN = 0.02, 24
+#: Words, and ideographs, in at least this share of all rows of a text count as common. So there are at most as many
+#: of them as a row holds different ones in the mean, over this share.
+COMMON, COMMON_HAN = 0.02, 0.1
 _HAN_PY = "[\u3400-\u9fff\u3007\uf900-\ufaff\U00020000-\U0003ffff]"
 
 #: Kept short: a class of few ranges is quick to match.
@@ -243,14 +243,18 @@ def labelled_lines(prose: dict[str, list[str]], seed: int = 11) -> list[tuple[st
     return [(x, y) for x, y in out if x.strip()]
 
 
-def common_words(prose: dict[str, list[str]]) -> list[str]:
-    """Words in at least ``COMMON`` of the sample's rows of a text, and its ``COMMON_HAN`` most widespread ideographs."""
+def common_words(texts: dict[str, DataFrame]) -> list[str]:
+    """The words in at least ``COMMON`` of all rows of a text (one column t each), and the ideographs in at least ``COMMON_HAN``.
+
+    Counted in Spark over every row, each row once per delivery; only what is common is gathered.
+    """
     out: set[str] = set()
-    for texts in prose.values():
-        seen = Counter(w for t in texts for w in set(re.findall(rf"{_HAN_PY}|(?:(?!{_HAN_PY})[^\W\d_])+", t.lower())))
-        han = sorted((-n, w) for w, n in seen.items() if re.match(_HAN_PY, w))
-        out |= {w for _, w in han[:COMMON_HAN]}
-        out |= {w for w, n in seen.items() if n >= COMMON * len(texts) and not re.match(_HAN_PY, w)}
+    for df in texts.values():
+        words = F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(rf"{_HAN}|[\p{{L}}\p{{M}}&&[^{_HAN[1:-1]}]]+"), F.lit(0)))
+        counted = df.where("t is not null").select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+        rows = df.where("t is not null").agg(F.count("*").alias("n")).scalar()
+        share = F.when(F.col("w").rlike(_HAN), COMMON_HAN).otherwise(COMMON)
+        out |= {r.w for r in counted.where(F.col("n") >= share * rows).select("w").collect()}
     return sorted(out)
 
 
@@ -261,9 +265,10 @@ class ProseJudge:
         self.common, self.rules = common, rule_list
 
     @classmethod
-    def fit(cls, spark, prose: dict[str, list[str]]) -> ProseJudge:
-        """Learn from prose rows (already bounded). Without any, there are no rules and nothing is a case."""
-        common, lines = common_words(prose), labelled_lines(prose)
+    def fit(cls, spark, texts: dict[str, DataFrame]) -> ProseJudge:
+        """Learn from rows of prose (columns o, an order by hash, and t): the common words from all, the rules from a
+        bounded sample. Without any, there are no rules and nothing is a case."""
+        common, lines = common_words(texts), labelled_lines({k: sample_rows(df) for k, df in texts.items()})
         if not lines:
             return cls([], [])
         made = spark.createDataFrame(lines, "line string, other boolean").coalesce(4)
@@ -280,11 +285,10 @@ class ProseJudge:
         return rules.to_sql(self.rules, FEATURES, features)
 
 
-def sample_rows(df: DataFrame, key: list[str], text: str, most: int = LABELLED) -> list[str]:
-    """At most ``most`` texts, chosen by a hash of the key: the same whatever the order of rows."""
-    order = F.xxhash64(*key)
-    rows = df.where(F.length(text) >= 12).select(order.alias("o"), F.col(text).alias("t")).orderBy("o", "t").limit(most).collect()
-    return [r.t for r in rows]
+def sample_rows(df: DataFrame, most: int = LABELLED) -> list[str]:
+    """At most ``most`` texts, the first by ``o``: the same whatever the order of rows. A repeated row counts once."""
+    rows = df.where(F.length("t") >= 12).orderBy("o", "t").limit(2 * most).collect()
+    return [t for _, t in dict.fromkeys((r.o, r.t) for r in rows)][:most]
 
 
 def _lines(documents: DataFrame, judge: ProseJudge, doc_id: str, text: str, names: list[str]) -> DataFrame:

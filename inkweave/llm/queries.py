@@ -32,7 +32,7 @@ def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     vi = scannoise.paragraphs(rows.select("vol", "id", "chapter", "page", "sent_idx").join(repaired, ["vol", "id"])).withColumn("entity", F.lit("vi_sentences"))
     boxes = _boxes(spark, d)
     mended = boxes.select("vol", "id", "chapter", "page", "box_idx").join(scannoise.repaired_boxes(boxes), ["vol", "id"])
-    han = scannoise.paragraphs(mended, place="box_idx", glue="").withColumn("entity", F.lit("han_boxes"))
+    han = scannoise.paragraphs(mended, "han", place="box_idx", glue="").withColumn("entity", F.lit("han_boxes"))
     return vi.unionByName(han).select("entity", "vol", "chapter", "paragraph_no", "paragraph")
 
 
@@ -148,11 +148,9 @@ def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _prose_judge(spark: SparkSession, d: str) -> quality.ProseJudge:
-    prose = {
-        "vi": quality.sample_rows(corpus_rows(spark, d, "vi_sentences", "text"), ["vol", "id"], "text"),
-        "han": quality.sample_rows(corpus_rows(spark, d, "han_sentences", "sinonom"), ["vol", "id"], "sinonom"),
-    }
-    return quality.ProseJudge.fit(spark, prose)
+    # Off the scans: the sample is the top of an order, so neither table is dealt out.
+    prose = lambda name, text: table(spark, d, name).select(F.xxhash64("vol", "id").alias("o"), F.col(text).alias("t"))
+    return quality.ProseJudge.fit(spark, {"vi": prose("vi_sentences", "text"), "han": prose("han_sentences", "sinonom")})
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

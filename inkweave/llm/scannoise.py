@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkweave.functions.unicode import nfc
+from inkweave.functions.unicode import nfc, nfd
 from inkweave.llm.boosting import Boosted
-from inkweave.llm.misread import SAMPLE_ROWS, USUAL_WORDS, column_text, is_ideograph, misread_columns, misread_words
-from inkweave.llm.pagenoise import PageNoise
+from inkweave.llm.misread import SAMPLE_ROWS, column_text, is_ideograph, misread_columns, misread_words
+from inkweave.llm.pagenoise import HEAD_RUN, RECURRING, PageNoise
 from inkweave.session import cut_lineage
 
 
@@ -29,17 +29,32 @@ def bounded_sample(df: DataFrame, text: str, most: int = SAMPLE_ROWS) -> list[st
     return [r.t for r in rows.orderBy("o", "t").limit(most).collect()]
 
 
-def usual_words(df: DataFrame, text: str, most: int = USUAL_WORDS) -> set[str]:
-    """The at most ``most`` most frequent words that occur in at least 1 of 300 rows; for features only."""
+def usual_words(df: DataFrame, text: str) -> set[str]:
+    """The words that occur at least once in 300 rows: so at most 300 times as many as a row holds in the mean."""
     words = F.regexp_extract_all(F.lower(nfc(F.col(text))), F.lit(r"\p{L}+"), F.lit(0))
     counted = df.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     rows = df.agg(F.count("*").alias("rows")).scalar()
-    return {r.w for r in counted.where(F.col("n") * 300 >= rows).orderBy(F.desc("n"), "w").limit(most).collect()}
+    return {r.w for r in counted.where(F.col("n") * 300 >= rows).select("w").collect()}
+
+
+def head_forms(df: DataFrame, text: str) -> list[str]:
+    """Recurring runs of words in capitals, folded, the most frequent first: what heads of this corpus look like.
+
+    Counted over all rows; a form recurs if it stands in ``RECURRING`` of them and at least twice, so there are at
+    most as many as a row holds runs in the mean, over that share.
+    """
+    runs = F.regexp_extract_all(nfc(F.col(text)), F.lit(HEAD_RUN), F.lit(0))
+    plain = F.translate(F.regexp_replace(nfd(F.lower("run")), r"\p{Mn}+", ""), "đ", "d")
+    form = F.trim(F.regexp_replace(plain, r"[\p{N}\W_&&[^\p{L}]]+", " "))
+    counted = df.select(F.explode(runs).alias("run")).groupBy(form.alias("form")).agg(F.count("*").alias("n"))
+    rows = df.agg(F.count("*").alias("rows")).scalar()
+    kept = counted.where((F.col("n") >= 2) & (F.col("n") >= F.lit(RECURRING) * rows) & (F.length("form") >= 6))
+    return [r.form for r in kept.orderBy(F.desc("n"), "form").collect()]
 
 
 def examine_vi(rows: DataFrame, text: str = "text") -> DataFrame:
     """vol, id, kinds, clean: furniture and broken syllables of each row, and its text without them."""
-    shared = rows.sparkSession.sparkContext.broadcast(PageNoise.fit(bounded_sample(rows, text), usual_words(rows, text)))
+    shared = rows.sparkSession.sparkContext.broadcast(PageNoise.fit(bounded_sample(rows, text), usual_words(rows, text), head_forms(rows, text)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -62,13 +77,13 @@ def vi_noise(rows: DataFrame) -> DataFrame:
 
     Null, empty and clean rows give none; each kind once a row; an empty table no row. Keys must be unique.
     """
-    examined = cut_lineage(examine_vi(rows))
+    examined = cut_lineage(examine_vi(cut_lineage(rows)))  # read four times before: for the sample, the words, the heads and the pass
     return _kinds(examined, misread_words(examined, bounded_sample(examined, "clean")))
 
 
 def repaired_vi(rows: DataFrame) -> DataFrame:
     """vol, id, clean, repaired: the text without furniture and breaks, and with misread words replaced."""
-    examined = cut_lineage(examine_vi(rows))
+    examined = cut_lineage(examine_vi(cut_lineage(rows)))
     wrong = misread_words(examined, bounded_sample(examined, "clean")).where("raw <> ''")
     fixes = wrong.groupBy("vol", "id").agg(F.sort_array(F.collect_list(F.struct("pos", "raw", F.coalesce("better", F.lit("")).alias("better")))).alias("fixes"))
 
@@ -186,14 +201,27 @@ def repaired_boxes(boxes: DataFrame) -> DataFrame:
     return joined.select("vol", "id", F.when(F.col("fixes").isNull(), F.col("chars")).otherwise(mended).alias("repaired"))
 
 
-def paragraphs(rows: DataFrame, most_sentences: int = 5, place: str = "sent_idx", glue: str = " ") -> DataFrame:
-    """vol, chapter, paragraph_no, paragraph: each chapter as continuous paragraphs of at most ``most_sentences`` rows.
+# How a statement that begins anew opens: a date, or a word of time.
+OPENINGS = {
+    "vi": r"^[«\"“]?(?:Năm|Tháng|Ngày|Mùa|Bấy giờ|Sau đó|Về sau|Trước đó|Khi ấy|Lúc ấy)(?!\p{L})",
+    "han": r"^(?:於是|先是|是歲|是月|是日|是時|既而|初|\p{L}{2}[元一二三四五六七八九十百]{1,4}年)",
+}
+_ENDED = r"[.!?…。！？；!?;][»”\"」』)）]*$"
+
+
+def paragraphs(rows: DataFrame, script: str = "vi", place: str = "sent_idx", glue: str = " ") -> DataFrame:
+    """vol, chapter, paragraph_no, paragraph: each chapter as continuous paragraphs.
 
-    ``rows`` has vol, chapter, page, the column ``place``, id and repaired; ``glue`` stands between two rows. Rows without text leave no gap; a chapter is
-    numbered by a window, no chapter is gathered whole.
+    ``rows`` has vol, chapter, page, the column ``place``, id and repaired; ``glue`` stands between two rows. A row
+    begins a paragraph if it opens a new statement (a date or a word of time) and the row before has ended its
+    sentence; where rows carry no marks at all, the opening alone decides. Rows without text leave no gap. A chapter
+    is numbered by a window; only the rows of one paragraph are gathered.
     """
     kept = rows.where("length(repaired) > 0")
     order = W.partitionBy("vol", "chapter").orderBy("page", place, "id")
-    numbered = kept.withColumn("k", F.row_number().over(order) - 1).withColumn("paragraph_no", F.floor(F.col("k") / most_sentences).cast("int") + 1)
-    gathered = numbered.groupBy("vol", "chapter", "paragraph_no").agg(F.sort_array(F.collect_list(F.struct("k", "repaired"))).alias("x"))
+    before = F.lag("repaired").over(order)
+    marked = kept.withColumns({"__k": F.row_number().over(order), "__before": before, "__open": F.col("repaired").rlike(OPENINGS[script])})
+    new = F.col("__before").isNull() | (F.col("__open") & (F.col("__before").rlike(_ENDED) | ~F.col("__before").rlike(r"[.,;:!?…。，、；：！？]")))
+    numbered = marked.withColumn("__new", new.cast("int")).withColumn("paragraph_no", F.sum("__new").over(order.rowsBetween(W.unboundedPreceding, 0)).cast("int"))
+    gathered = numbered.groupBy("vol", "chapter", "paragraph_no").agg(F.sort_array(F.collect_list(F.struct("__k", "repaired"))).alias("x"))
     return gathered.select("vol", "chapter", "paragraph_no", F.array_join("x.repaired", glue).alias("paragraph"))

@@ -44,7 +44,8 @@ def _prose(r):
 
 def test_prose_judge(spark):
     r = random.Random(3)
-    judge = quality.ProseJudge.fit(spark, {"vi": [_prose(r) for _ in range(250)]})
+    made = spark.createDataFrame([(k, _prose(r)) for k in range(250)], "o bigint, t string")
+    judge = quality.ProseJudge.fit(spark, {"vi": made})
     prose = [" ".join(_prose(r) for _ in range(3)) for _ in range(40)]
     lists = ["\n".join(f"- {r.choice([r.choice(THINGS), ' '.join(r.sample(SURNAMES, 3)), f'{r.randint(2, 99)} lạng bạc'])}" for _ in range(8)) for _ in range(20)] + ["\n".join(f"| {r.choice(SURNAMES)} | {r.randint(1, 999)} | {r.randint(1, 999)} |" for _ in range(6)) for _ in range(20)]
     mixed = "\n".join([prose[0], prose[1], "- một", "- hai"])  # half, which is not more than half
@@ -57,7 +58,7 @@ def test_prose_judge(spark):
     assert {k for k, x in stats.items() if x.no_prose} == found
     assert stats[900].lines == stats[902].lines == 0 and stats[900].mean_word_length == 0.0
     assert quality.no_prose_documents(df.limit(0), judge).count() == 0
-    assert quality.ProseJudge.fit(spark, {"vi": []}).rules == []
+    assert quality.ProseJudge.fit(spark, {"vi": made.limit(0)}).rules == []
 
 
 def test_page_noise():
@@ -65,7 +66,7 @@ def test_page_noise():
     texts = [_prose(r) for _ in range(600)]
     heads = [f"{r.randint(1, 300)} THỤY KHANG CHÍNH YẾU\n" + t for t in texts[:60]]
     known = {w.lower() for t in texts for w in t.replace(",", " ").replace(".", " ").split()}
-    noise = pagenoise.PageNoise.fit(texts + heads, known)
+    noise = pagenoise.PageNoise.fit(texts + heads, known, ["thuy khang chinh yeu"])
     t = texts[3]
     words = t.split()
     k = len(words) // 2
@@ -121,8 +122,8 @@ def test_paragraphs_of_boxes(spark):
     rows += [("v", "head", 1, 1, 20, [600, 90, 630, 410], "瑞康政要卷之三"), ("v", "num", 1, 2, 20, [600, 1490, 650, 1530], "六十二"), ("v", "null", 1, 1, 21, [30, 100, 76, 800], None)]
     df = spark.createDataFrame(rows, "vol string, id string, chapter int, page int, box_idx int, bbox array<int>, sinonom string")
     both = df.select("vol", "id", "chapter", "page", "box_idx").join(scannoise.repaired_boxes(df), ["vol", "id"])
-    got = [r.paragraph for r in scannoise.paragraphs(both, 8, "box_idx", "").orderBy("paragraph_no").collect()]
-    assert got == ["是歲柳武永曰" * 2 + "是岁曰" + "是歲柳武永曰" * 5] * 2
+    got = [r.paragraph for r in scannoise.paragraphs(both, "han", "box_idx", "").orderBy("paragraph_no").collect()]
+    assert got == (["是歲柳武永曰"] * 1 + ["是歲柳武永曰是岁曰"] + ["是歲柳武永曰"] * 5) * 2
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
@@ -133,10 +134,21 @@ def test_both_texts_have_paragraphs(spark):
 
 
 def test_paragraphs(spark):
-    rows = [("v", 1, 1, k, f"i{k}", f"s{k}" if k != 3 else None) for k in range(8)]
+    """Cut where a statement opens behind a finished sentence, and nowhere else; each chapter on its own."""
+    texts = ["Năm ấy đi.", "Rồi về,", None, "Năm sau ở lại.", "Bấy giờ mưa", "", "to. Hết.", "Năm kia"]
+    rows = [("v", 1, 1, k, f"i{k}", t) for k, t in enumerate(texts)] + [("v", 2, 1, 0, "j", "lẻ"), (None, None, 1, 0, "k", "lạc")]
     df = spark.createDataFrame(rows, "vol string, chapter int, page int, sent_idx int, id string, repaired string")
-    got = [(r.paragraph_no, r.paragraph) for r in scannoise.paragraphs(df, 5).orderBy("paragraph_no").collect()]
-    assert got == [(1, "s0 s1 s2 s4 s5"), (2, "s6 s7")]
+    got = [(r.paragraph_no, r.paragraph) for r in scannoise.paragraphs(df).where("chapter = 1").orderBy("paragraph_no").collect()]
+    assert got == [(1, "Năm ấy đi. Rồi về, Năm sau ở lại."), (2, "Bấy giờ mưa to. Hết."), (3, "Năm kia")]
+    assert scannoise.paragraphs(df).count() == 5 and scannoise.paragraphs(df.limit(0)).count() == 0
+
+
+def test_heads_are_counted_over_all_rows(spark):
+    """A head of two rows among thousands is known, which no bounded sample has to hold."""
+    rows = [("v", str(k), "một câu thường.") for k in range(5000)] + [("v", "a", "SÁCH QUÝ MỚI\nmột câu."), ("v", "b", "12 SÁCH QUÝ MỚI 3"), ("v", "c", "CHỈ MỘT LẦN"), ("v", "d", None)]
+    df = spark.createDataFrame(rows, "vol string, id string, text string")
+    assert scannoise.head_forms(df, "text") == ["sach quy moi"]
+    assert scannoise.usual_words(df, "text") == {"một", "câu", "thường"} and scannoise.head_forms(df.limit(0), "text") == []
 
 
 DIR = "/root/testdata/sf0.001"
