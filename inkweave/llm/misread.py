@@ -1,8 +1,9 @@
 """Misrecognised characters and the whole repair of scanned text (problem 1).
 
 Vietnamese: words that are rare beside a similar usual word get candidates through an inverted join on
-character q-grams of their letters without diacritics; a boosted ranking scores each candidate by how
-well known confusions of recognition explain the difference and how well it fits between its neighbours;
+character q-grams of their letters without diacritics; a boosted ranking scores each candidate by its edit
+distance, by whether known confusions of recognition explain the difference (a feature, no condition) and by
+how well it fits between its neighbours;
 the best one replaces the word if it is more likely than not. Words with characters that no Vietnamese
 word has are misread whatever the ranking finds.
 
@@ -77,26 +78,45 @@ def edit_cost(read: str, printed: str) -> float:
     return cost[n][m]
 
 
+def plain_distance(a: str, b: str) -> int:
+    """Edit distance."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+#: Features of a pair of words, and those of its place besides.
+PAIR, PLACE = 10, 6
+
+
 def pair_features(word: str, candidate: str) -> list[float]:
     """Of a word as read and a usual word, without their places."""
     a, b = fold(word), fold(candidate)
     tones = lambda s: [c for c in unicodedata.normalize("NFD", s) if unicodedata.combining(c)]
     ta, tb = Counter(tones(word)), Counter(tones(candidate))
+    cost, marks = edit_cost(a, b), float(sum(((ta - tb) + (tb - ta)).values()))
+    odd = foreign(word)
     return [
-        edit_cost(a, b),
-        float(sum(((ta - tb) + (tb - ta)).values())),
+        cost,
+        marks,
         float(not ta and bool(tb)),
         float(a == b),
         len(word),
         abs(len(a) - len(b)),
         float(is_syllable(word)),
-        float(foreign(word)),
+        float(odd),
+        float(plain_distance(a, b)),
+        # Known confusions explain it: recognition loses all marks of a word, but does not swap them.
+        float(cost < 1.0 and (marks == 0 or (not ta and bool(tb)) or odd)),
     ]
 
 
-def _explained(made: list[float]) -> bool:
-    """Can known confusions explain it? Recognition loses all marks of a word, but does not swap them."""
-    return made[0] < 1.0 and (made[1] == 0 or made[2] == 1 or made[7] == 1)
+def _plausible(made: list[float]) -> bool:
+    """Is it worth ranking? Whatever known confusions explain, and any word one edit away, whatever the letters."""
+    return made[9] == 1 or made[8] <= 1
 
 
 def _words(text: Column) -> Column:
@@ -112,8 +132,11 @@ def word_rows(examined: DataFrame) -> DataFrame:
     return listed.select("vol", "id", F.explode(each).alias("x")).select("vol", "id", "x.*").where(raw.isNotNull())
 
 
+_ANY = "abcdeghiklmnopqrstuvxyfjwz0123456789"
+
+
 def _ranking(texts: list[str], seed: int = 3) -> Boosted:
-    """Fits the ranking on words of a bounded sample, spoilt by known confusions, and on rare words made of usual parts."""
+    """Fits the ranking on words of a bounded sample, spoilt by known confusions and by any others, and on rare words made of usual parts."""
     r = random.Random(seed)
     rows = [[w for w in re.split(_WORD_SEPARATORS, t) if w] for t in texts]
     n: Counter = Counter(w.lower() for ws in rows for w in ws)
@@ -121,7 +144,7 @@ def _ranking(texts: list[str], seed: int = 3) -> Boosted:
     whole = max(sum(n.values()), 1)
     usual = [w for w, k in n.items() if k >= 8 and not foreign(w) and w.isalpha()]
     if len(usual) < 20:
-        return Boosted().fit(np.zeros((0, 14)), np.zeros(0))
+        return Boosted().fit(np.zeros((0, PAIR + PLACE)), np.zeros(0))
     by_gram: dict[str, set[str]] = defaultdict(set)
     for w in usual:
         f = f"^{fold(w)}$"
@@ -140,7 +163,10 @@ def _ranking(texts: list[str], seed: int = 3) -> Boosted:
                 f = "".join(c for c in unicodedata.normalize("NFD", low) if not unicodedata.combining(c)).replace("đ", "d")
             else:
                 fits = [(a, b) for a, b in CONFUSIONS if b in f.replace("đ", "d")]
-                if not fits or r.random() < 0.15:
+                if r.random() < 0.3:  # any letter for any other, lost or too many
+                    k = r.randrange(len(f))
+                    f = f[:k] + r.choice(["", r.choice(_ANY), f[k] + r.choice(_ANY)]) + f[k + 1 :]
+                elif not fits or r.random() < 0.15:
                     k = r.randrange(1, len(f) + 1)
                     f = f[:k] + r.choice("~|^`$") + f[k:]
                 else:
@@ -163,13 +189,13 @@ def _ranking(texts: list[str], seed: int = 3) -> Boosted:
         others = [c for c in near if c not in (right, f) and near[c] >= max(len(fold(c)), len(g) - 2) - 3 and (right or kind < 0.8 or n[c] >= TIMES * n[f])]
         for c in [right] * (right in near and right != f) + r.sample(others, min(15, len(others))):
             made = pair_features(f, c)
-            if not _explained(made):
+            if not _plausible(made):
                 continue
             own = float(c == right)  # the spoilt place itself is no evidence
             x.append([*made, (two[before, c] - own) / max(n[before], 1), (two[c, after] - own) / max(n[after], 1), mine,
                       two[f, after] / max(n[after], 1) if kind >= 0.8 else mine / 2, float(w[0].isupper() and bool(before)), np.log(n[c] / whole)])
             y.append(c == right)
-    return Boosted(rounds=60).fit(np.array(x, float).reshape(len(y), 14), np.array(y, float))
+    return Boosted(rounds=60).fit(np.array(x, float).reshape(len(y), PAIR + PLACE), np.array(y, float))
 
 
 def misread_words(examined: DataFrame, texts: list[str]) -> DataFrame:
@@ -201,7 +227,7 @@ def misread_words(examined: DataFrame, texts: list[str]) -> DataFrame:
     def paired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             made = [pair_features(u, v) for u, v in zip(b["read"], b["better"])]
-            keep = [_explained(f) for f in made]
+            keep = [_plausible(f) for f in made]
             b = b.assign(f=made)[keep]
             yield b[["read", "better", "better_n", "f"]]
 
