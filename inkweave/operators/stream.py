@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from inkweave.functions.text import cjk_chars
+from inkweave.functions.text import cjk_chars, sentence_spans
 
 
 def with_offsets(rows: DataFrame, key: list[str], order: list[str], length: Column, separator: int = 1) -> DataFrame:
@@ -119,3 +119,21 @@ def page_sentences(boxes: DataFrame, page: list[str], order: list[str], text: st
     whole = placed.where("NOT __cut").select(*page, F.col("row_no").cast("bigint").alias("at"), t.alias("segment"), F.array("id").alias("box_ids"), dbl)
     number = F.row_number().over(W.partitionBy(*page).orderBy("at"))
     return spans.unionByName(whole).select(*page, number.alias("sent_no"), "segment", "box_ids", "is_dbl")
+
+
+def restreamed(rows: DataFrame, key: list[str], order: list[str], text: str, separator: str = " ") -> DataFrame:
+    """key, sent_no, sentence, start_at, end_at, page, ids: the rows of a key joined to one text and cut into plain sentences.
+
+    A sentence may span rows: page is that of the row in which it begins (the separator belongs to the row before
+    it), ids are the rows that it touches, in order. Null texts take no part; empty ones leave a separator.
+    """
+    have = rows.where(F.col(text).isNotNull())
+    laid = with_offsets(have, key, order, F.length(text), separator=len(separator))
+    joined = have.groupBy(*key).agg(F.array_join(F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("__t"))))["__t"], separator).alias("__all"))
+    spans = joined.select(*key, F.posexplode(sentence_spans(F.col("__all"))).alias("k", "x"))
+    spans = spans.select(*key, (F.col("k") + 1).alias("sent_no"), "x.sentence", F.col("x.start_at").cast("bigint").alias("start_at"), F.col("x.end_at").cast("bigint").alias("end_at"))
+    placed = as_of(spans, laid.select(*key, "start_at", "page"), key, "start_at", "start_at", "page")
+    bounds = laid.select(*key, "id", F.col("start_at").alias("r0"), F.col("end_at").alias("r1"))
+    met = overlaps(spans.select(*key, "sent_no", "start_at", "end_at"), bounds, key, "start_at", "end_at", "r0", "r1", bucket=256)
+    ids = met.groupBy(*key, "sent_no").agg(F.sort_array(F.collect_list(F.struct("r0", "id")))["id"].alias("ids"))
+    return placed.join(ids, [*key, "sent_no"], "left").select(*key, "sent_no", "sentence", "start_at", "end_at", "page", "ids")

@@ -83,7 +83,7 @@ def volume_manifest(s: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- page layout
 
-#: Columns clustered one box after the other.
+# What only a running head says.
 _HEADS = "政要卷之 命政要卷"
 _COLUMNS = """
 g AS (SELECT vol, page, id, bbox, coalesce(sinonom, '') AS t, conf, (bbox[1] + bbox[3]) / 2 AS cx, (bbox[2] + bbox[4]) / 2 AS cy, bbox[3] - bbox[1] AS bw,

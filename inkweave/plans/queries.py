@@ -408,12 +408,12 @@ def volume_figures(s: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH $ONCE SELECT vol, chapter, count(*) AS n, round(sum(CAST(round(oov_rate * 1000) AS BIGINT)) / (1000.0 * count(oov_rate)), 6) AS mean_oov, count(*) FILTER (oov_rate > 0.3) AS above,
-  count(*) FILTER (text <> raw_text) AS cleaned, count(*) FILTER (text IS NULL OR text = '') AS without FROM v GROUP BY vol, chapter""")
+  count(*) FILTER (text <> raw_text) AS cleaned, count(*) FILTER (text IS NULL OR text = '') AS without, count(*) FILTER (contains(text, '<b>')) AS bold FROM v GROUP BY vol, chapter""")
 def chapter_figures(s: SparkSession, d: str) -> DataFrame:
     rows = corpus_rows(s, d, "vi_sentences", "chapter", "text", "raw_text", "oov_rate")
     return rows.groupBy("vol", "chapter").agg(
         F.count("*").alias("n"), F.round(F.sum(F.round(F.col("oov_rate") * 1000).cast("bigint")) / (1000.0 * F.count("oov_rate")), 6).alias("mean_oov"), F.count_if(F.col("oov_rate") > 0.3).alias("above"),
-        F.count_if(F.col("text") != F.col("raw_text")).alias("cleaned"), F.count_if(F.coalesce("text", F.lit("")) == "").alias("without"),
+        F.count_if(F.col("text") != F.col("raw_text")).alias("cleaned"), F.count_if(F.coalesce("text", F.lit("")) == "").alias("without"), F.count_if(F.col("text").contains("<b>")).alias("bold"),
     )
 
 

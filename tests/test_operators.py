@@ -278,3 +278,37 @@ def test_sequences(spark):
         if r.t is not None:
             assert r.places is not None and len(r.places) == len(r.clean) and r.places == sorted(r.places)
             assert all(c == r.t[k] for c, k in zip(r.clean, r.places) if c != " ")
+
+
+def test_restreamed_rows(spark):
+    rows = [("v", 1, 1, "a", "Một hai. Ba"), ("v", 1, 2, "b", "bốn."), ("v", 2, 1, "c", None), ("v", 2, 2, "d", ""), ("v", 3, 1, "e", "Năm! Sáu")]
+    df = spark.createDataFrame(rows, "vol string, page int, k int, id string, t string")
+    got = stream.restreamed(df, ["vol"], ["page", "k", "id"], "t").orderBy("sent_no").collect()
+    assert [(r.sentence, r.start_at, r.end_at, r.page, r.ids) for r in got] == [
+        ("Một hai.", 0, 8, 1, ["a"]), ("Ba bốn.", 9, 16, 1, ["a", "b"]), ("Năm!", 18, 22, 3, ["e"]), ("Sáu", 23, 26, 3, ["e"]),
+    ]
+    assert stream.restreamed(df.limit(0), ["vol"], ["page", "k", "id"], "t").count() == 0
+
+
+def test_page_sentences(spark):
+    rows = [("v", 1, 1, "a", "甲乙。丙", False), ("v", 1, 2, "b", "丁！", True), ("v", 2, 1, "c", "戊己", False), ("v", 2, 2, "d", "庚", None)]
+    df = spark.createDataFrame(rows, "vol string, page int, k int, id string, t string, is_dbl boolean")
+    got = stream.page_sentences(df, ["vol", "page"], ["k", "id"], "t", "。！，", "。！").orderBy("page", "sent_no").collect()
+    assert [(r.page, r.segment, r.box_ids, r.is_dbl) for r in got] == [
+        (1, "甲乙。", ["a"], False), (1, "丙丁！", ["a", "b"], True), (2, "戊己", ["c"], False), (2, "庚", ["d"], False),
+    ]
+
+
+def test_views_progress_and_remarks(spark):
+    rows = spark.createDataFrame([("v", "a", "x"), ("v", "b", "y"), ("v", "c", "z"), ("v", "d", None)], "vol string, id string, t string")
+    edits = spark.createDataFrame([("v", "a", "X", True, "edit"), ("v", "b", None, None, "drop"), ("v", "c", "z", False, "edit")], "vol string, id string, correct string, reviewed boolean, fix_type string")
+    flags = spark.createDataFrame([("v", "c"), ("v", "c"), ("v", "d")], "vol string, id string")
+    ids = lambda name: sorted(r.id for r in patching.view(rows, edits, flags, ["vol", "id"], "t", name).collect())
+    assert {n: ids(n) for n in patching.VIEWS} == {"all": list("abcd"), "flagged": ["c", "d"], "unreviewed": ["c", "d"], "edited": ["a"], "dropped": ["b"]}
+    assert tuple(patching.review_progress(rows, edits, flags, ["vol", "id"], "t", ["vol"]).first()) == ("v", 4, 2, 1, 2)
+    sentences = spark.createDataFrame([("v", "s", ["c", "a"]), ("v", "t", None), ("v", "u", [])], "vol string, id string, boxes array<string>")
+    remarks = spark.createDataFrame([("v", "a", "char"), ("v", "c", "box"), ("w", "a", "no")], "vol string, id string, level string")
+    got = patching.gathered_flags(sentences, ["vol", "id"], "boxes", remarks, ["vol"]).collect()
+    assert [(r.id, [tuple(x) for x in r.remarks]) for r in got] == [("s", [("c", "box"), ("a", "char")])]
+    made = spark.createDataFrame([(["b", "a"], "c"), (None, "x"), (["a"], None)], "ids array<string>, new string").select(patching.with_id_added(F.col("ids"), F.col("new")).alias("x"))
+    assert [r.x for r in made.collect()] == [["a", "b", "c"], ["x"], ["a"]]
