@@ -45,9 +45,9 @@ def document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, line (its place within the file) of every line."""
-    each = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
-    return each.select("value", "line")
+    """value, line (an order of the lines within a file) of every line. A large file is read in splits, each in order."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select("value", at.alias("line"))
 
 
 def dictionary(spark: SparkSession, path: str, lower_keys: bool = False) -> DataFrame:
