@@ -115,8 +115,8 @@ def pair_features(word: str, candidate: str) -> list[float]:
 
 
 def _plausible(made: list[float]) -> bool:
-    """Is it worth ranking? Whatever known confusions explain, and any word one edit away, whatever the letters."""
-    return made[9] == 1 or made[8] <= 1
+    """Is it worth ranking? Whatever known confusions explain, and any word one edit away that has the same marks or lost them all, whatever the letters."""
+    return made[9] == 1 or made[8] <= 1 and (made[1] == 0 or made[2] == 1)
 
 
 def _words(text: Column) -> Column:
