@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkweave.functions.unicode import nfc
+from inkweave.llm.boundaries import Gaps
 from inkweave.llm.sentences import sentence_units
 from inkweave.session import cut_lineage
 from inkweave.sources.tables import dealt
@@ -41,6 +43,10 @@ _HAN_NUMBER = re.compile("[元正〇一二三四五六七八九十百千萬]+")
 _VI_NUMBER = re.compile(r"(?<![\d.,])\d{1,3}(?:\.\d{3})+(?!\d)|\d+")
 
 
+_BROKEN = re.compile(r"(?<![^\W\d_])([bcdđghklmnpqrstvx]{1,3})[-‐–¬]\s*\n\s*", re.I)
+_SYLLABLES = re.compile(r"[^\W\d_]+")
+
+
 def han_number(s: str) -> int:
     total = part = digit = 0
     for c in s:
@@ -58,19 +64,20 @@ def han_anchors(unit: str, readings: dict[str, set[str]], pairs: set[str]) -> se
     text = re.sub(r"[^\w]", "", unit)
     out = set()
     for a, b in zip(text, text[1:]):
-        for x in readings.get(a, ()):
-            out.update(f"{x} {y}" for y in readings.get(b, ()))
+        if a in readings and b in readings:
+            out.update([f"{x} {y}" for x in readings[a] for y in readings[b]])
         if a + b in pairs:
             out.add(f"={a}{b}")
-    out.update(f"#{han_number(m)}" for m in _HAN_NUMBER.findall(text))
+    out.update([f"#{han_number(m)}" for m in _HAN_NUMBER.findall(text)])
     return out
 
 
 def vi_syllables(unit: str) -> list[str]:
     """Lower-case syllables; one that was cut by a line end is joined, a compound is not."""
     t = unicodedata.normalize("NFC", unit)
-    t = re.sub(r"(?<![^\W\d_])([bcdđghklmnpqrstvx]{1,3})[-‐–¬]\s*\n\s*", r"\1", t, flags=re.I)
-    return re.findall(r"[^\W\d_]+|\n", t.lower().replace("\n", " "))
+    if "\n" in t:
+        t = _BROKEN.sub(r"\1", t)
+    return _SYLLABLES.findall(t.lower())
 
 
 def vi_anchors(unit: str, words: dict[str, set[str]], heads: set[str] | None = None) -> set[str]:
@@ -79,9 +86,9 @@ def vi_anchors(unit: str, words: dict[str, set[str]], heads: set[str] | None = N
     out = {f"{a} {b}" for a, b in zip(s, s[1:])}
     for k, first in enumerate(s):
         if heads is None or first in heads:
-            for n in (1, 2, 3, 4):
-                if k + n <= len(s):
-                    out.update(f"={h}" for h in words.get(" ".join(s[k : k + n]), ()) if len(h) > 1)
+            for n in range(1, min(4, len(s) - k) + 1):
+                if (word := " ".join(s[k : k + n])) in words:
+                    out.update([f"={h}" for h in words[word] if len(h) > 1])
     for m in _VI_NUMBER.findall(unit):
         out.add(f"#{int(m.replace('.', ''))}")
     for k, w in enumerate(s):
@@ -161,11 +168,11 @@ class Chapter:
     def shared(self, i: int, *js: int) -> float:
         """The weight of the anchors that sentence i has in common with any of js."""
         common = self.han[i] & (self.vi[js[0]] if len(js) == 1 else set().union(*(self.vi[j] for j in js)))
-        return sum(sorted(self.weight[a] for a in common))
+        return math.fsum(self.weight[a] for a in common)
 
     def shared_by(self, j: int, *ks: int) -> float:
         """The weight of the anchors that sentence j of the right side has in common with any of ks of the left."""
-        return sum(sorted(self.weight[a] for a in self.vi[j] & set().union(*(self.han[i] for i in ks))))
+        return math.fsum(self.weight[a] for a in self.vi[j] & set().union(*(self.han[i] for i in ks)))
 
     def partners(self, least: float) -> list[tuple[int, int, float]]:
         """Pairs that are best for each other; of equal ones the one nearest to the diagonal."""
@@ -359,24 +366,25 @@ def chapter_lexicon(units: DataFrame, rows: DataFrame) -> DataFrame:
 _ORDER = ["page", "sent_idx", "id", "unit_no"]
 
 
-def _units(han_rows: DataFrame, vi_rows: DataFrame) -> DataFrame:
+def _units(han_rows: DataFrame, vi_rows: DataFrame, model: Gaps | None = None) -> DataFrame:
     keep = ["vol", "chapter", "page", "sent_idx", "id"]
     han = han_rows.where("NOT coalesce(is_dbl, false)")
-    both = sentence_units(han, "sinonom", "han", *keep).withColumn("side", F.lit("h")).unionByName(
+    both = sentence_units(han, "sinonom", "han", *keep, model=model).withColumn("side", F.lit("h")).unionByName(
         sentence_units(vi_rows, "text", "vi", *keep).withColumn("side", F.lit("v"))
     )
     return both.where("vol is not null and chapter is not null and id is not null")
 
 
-def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFrame, s2: DataFrame, most: int = MOST_LEXICON) -> DataFrame:
+def aligned_sentences(han_rows: DataFrame, vi_rows: DataFrame, hanviet: DataFrame, s2: DataFrame, most: int = MOST_LEXICON, model: Gaps | None = None) -> DataFrame:
     """vol, chapter, han_id, han_unit, vie_id, vie_unit, score: the linked sentences of every chapter.
 
     Rows need vol, chapter, page, sent_idx, id and sinonom (with is_dbl) or text; each key once. Null and
     blank texts, rows with is_dbl and rows without a chapter take no part; a sentence that occurs twice is
-    linked by its place; empty tables give no row. A chapter is one task; its memory grows with its own
-    sentences and the pairs that share a rare anchor, not with their product.
+    linked by its place; empty tables give no row. A chapter is held by one task while it is read; its memory grows
+    with its own sentences and the pairs that score. A lexicon of up to ``most`` rows goes to every task, a larger
+    one is joined to the chapters; ``model`` cuts bare rows (see ``sentence_units``).
     """
-    units = cut_lineage(_units(han_rows, vi_rows))  # read twice: to learn and to link
+    units = cut_lineage(_units(han_rows, vi_rows, model))  # read twice: to learn and to link
     known = lexicon_rows(hanviet, s2)
     linked = _linked(units, known, UNLEARNT, "h array<string>, v array<string>", most)
     learnt = learn_pairs(linked).select(F.lit("l").alias("kind"), "h", "v")
@@ -433,6 +441,6 @@ def _linked(units: DataFrame, rows: DataFrame, least: tuple[float, float], schem
     return units.groupBy("vol", "chapter").cogroup(own.groupBy("l_vol", "l_chapter")).applyInPandas(both, schema)
 
 
-def aligned_rows(*tables: DataFrame) -> DataFrame:
+def aligned_rows(*tables: DataFrame, model: Gaps | None = None) -> DataFrame:
     """vol, han_id, vie_id: the rows of which at least one sentence is linked."""
-    return aligned_sentences(*tables).select("vol", "han_id", "vie_id").distinct()
+    return aligned_sentences(*tables, model=model).select("vol", "han_id", "vie_id").distinct()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweave.llm import alignment, bpe, leakage, lookalikes, quality, scannoise, sentences, splitting, termcounts
+from inkweave.llm import alignment, boundaries, bpe, leakage, lookalikes, quality, scannoise, sentences, splitting, termcounts
 from inkweave.sources.tables import corpus_rows, spread, table
 
 #: Where the public tokenizers lie; a parameter, never copied into the repository.
@@ -36,6 +36,11 @@ def p1_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return vi.unionByName(han).select("entity", "vol", "chapter", "paragraph_no", "paragraph")
 
 
+def _gaps(spark: SparkSession, d: str) -> boundaries.Gaps:
+    """What the punctuated Chinese rows say about bare ones; off the scan, as the sample is the top of an order."""
+    return sentences.learn_boundaries(table(spark, d, "han_sentences"), "sinonom")
+
+
 def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     place = ("chapter", "page", "sent_idx")
     return (
@@ -47,16 +52,16 @@ def _sentence_rows(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return alignment.aligned_rows(*_sentence_rows(spark, d))
+    return alignment.aligned_rows(*_sentence_rows(spark, d), model=_gaps(spark, d))
 
 
 def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
     """The linked sentences of every chapter with their scores."""
-    return alignment.aligned_sentences(*_sentence_rows(spark, d))
+    return alignment.aligned_sentences(*_sentence_rows(spark, d), model=_gaps(spark, d))
 
 
 def _both_texts(spark: SparkSession, d: str, find: Callable[..., DataFrame]) -> DataFrame:
-    han = find(corpus_rows(spark, d, "han_sentences", "sinonom", costly=True), "sinonom", "han", "vol", "id")
+    han = find(corpus_rows(spark, d, "han_sentences", "sinonom", costly=True), "sinonom", "han", "vol", "id", model=_gaps(spark, d))
     vi = find(corpus_rows(spark, d, "vi_sentences", "text", costly=True), "text", "vi", "vol", "id")
     return han.withColumn("entity", F.lit("han_sentences")).unionByName(vi.withColumn("entity", F.lit("vi_sentences")))
 
